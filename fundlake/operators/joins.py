@@ -1,0 +1,72 @@
+"""Join strategies with a checked broadcast and a skew-safe fallback."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fundlake.session import materialize
+
+# A side is broadcast only when its materialised row count is at most this.
+BROADCAST_MAX_ROWS = 2_000_000
+# A key whose weight exceeds this is split over SALT_BUCKETS join tasks.
+HOT_KEY_WEIGHT = 1_000_000
+SALT_BUCKETS = 32
+
+
+def checked_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    weight_col: str | None = None,
+    salt_source: Column | None = None,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    hot_key_weight: int = HOT_KEY_WEIGHT,
+    salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Join ``big`` with ``small`` (at most one ``small`` row per key).
+
+    ``small`` is materialised in the shared checkpoint folder and counted.
+    Up to ``broadcast_max_rows`` rows it is broadcast, so ``big`` is never
+    shuffled. Beyond that it is a shuffle join in which keys whose
+    ``weight_col`` (rows of ``big`` per key, computed by the caller's
+    aggregate) exceeds ``hot_key_weight`` are salted: their ``big`` rows spread
+    over ``salt_buckets`` tasks and their single ``small`` row is replicated.
+    The set of hot keys is bounded by total weight / ``hot_key_weight`` and is
+    itself broadcast only after its size is checked.
+    """
+    on = list(on)
+    small = materialize(small)
+    n_small = small.count()
+    if n_small <= broadcast_max_rows:
+        return big.join(F.broadcast(small), on, how)
+    if weight_col is None or salt_source is None:
+        return big.join(small, on, how)
+
+    hot = small.where(F.col(weight_col) > hot_key_weight).select(*on)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return big.join(small, on, how)
+    if n_hot > broadcast_max_rows:  # cannot happen unless thresholds are odd
+        return big.join(small, on, how)
+    salt = "__salt"
+    flagged = big.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left")
+    big_salted = flagged.withColumn(
+        salt,
+        F.when(F.col("__hot"), F.pmod(F.xxhash64(salt_source), F.lit(salt_buckets)))
+        .otherwise(F.lit(0))
+        .cast("int"),
+    ).drop("__hot")
+    small_salted = small.withColumn(
+        salt,
+        F.explode(
+            F.when(
+                F.col(weight_col) > hot_key_weight, F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+            ).otherwise(F.array(F.lit(0)))
+        ),
+    )
+    return big_salted.join(small_salted, on + [salt], how).drop(salt)

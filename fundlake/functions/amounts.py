@@ -13,9 +13,9 @@ _BIGINT_LIMIT = 9.2e18
 _INTEGER_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def amount_kind(v: Column) -> Column:
-    """'int', 'frac', 'bool' or 'other' for a VARIANT amount."""
-    t = vtype(v)
+def amount_kind(v: Column, t: Column | None = None) -> Column:
+    """'int', 'frac', 'bool' or 'other' for a VARIANT amount (``t``: its vtype)."""
+    t = vtype(v) if t is None else t
     return (
         F.when(t.isin(*_INTEGER_TYPES), F.lit("int"))
         .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.lit("frac"))
@@ -24,17 +24,18 @@ def amount_kind(v: Column) -> Column:
     )
 
 
-def amount_out_of_range(v: Column) -> Column:
+def amount_out_of_range(v: Column, kind: Column | None = None) -> Column:
     """True when a numeric amount cannot be truncated into a BIGINT."""
+    kind = amount_kind(v) if kind is None else kind
     dbl = F.try_variant_get(v, "$", "double")
-    return (amount_kind(v) == "frac") & (F.abs(dbl) >= F.lit(_BIGINT_LIMIT))
+    return (kind == "frac") & (F.abs(dbl) >= F.lit(_BIGINT_LIMIT))
 
 
-def coerce_amount(v: Column) -> Column:
+def coerce_amount(v: Column, kind: Column | None = None) -> Column:
     """Numbers keep their value, booleans count 1/0, anything else is 0 (O-57),
     truncated toward minus infinity to a BIGINT (O-58). Callers take
     ``greatest(.., 0)`` after the max, so floor equals Python's int()."""
-    kind = amount_kind(v)
+    kind = amount_kind(v) if kind is None else kind
     return (
         F.when(kind == "int", F.try_variant_get(v, "$", "bigint"))
         .when(kind == "frac", F.floor(F.try_variant_get(v, "$", "double")).cast("bigint"))

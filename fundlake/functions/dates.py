@@ -1,63 +1,48 @@
 """Date normalisation to ``MM/YY`` (O-51).
 
 An ordered cascade: the first branch whose pattern matches and whose value is
-valid wins; a branch whose value is invalid falls through to the next. All
-branches are built-in regex / arithmetic expressions, so the whole cascade is
-one CASE expression inside whole-stage codegen. ``(?U)`` makes ``\\d``, ``\\w``
-and ``\\s`` Unicode-aware, as they are in Python patterns.
+valid wins; a branch whose value is invalid falls through to the next.
+
+Branches (applied to the stripped text):
+  1. m{1,2} SEP yy or yyyy            -> zfill(m) / last two of year
+  2. yyyy                             -> 01 / last two
+  3. yyyy SEP m{1,2}                  -> zfill(m) / last two
+  4. yy SEP m (one digit)             -> zfill(m) / yy
+  5. m{1,2} SEP d{1,2} SEP yyyy       -> zfill(m) / last two
+  6. yyyy SEP m{1,2} SEP d{1,2}       -> zfill(m) / last two (no calendar check)
+  7. <Month> d{1,2}, yyyy             -> full English month name, valid day
+  8. <Month> d{1,2} yyyy              -> same without the comma
+  9. ISO 8601 date (calendar or week) with optional time and offset
+ 10. otherwise NULL
+SEP is any of ``/ . -``. Branches 1-6 are decided on the shape of one split
+(number of parts and their lengths) so the cascade stays a small expression
+that fits whole-stage codegen. ``(?U)`` makes ``\\d``/``\\w``/``\\s`` Unicode
+aware, as they are in Python patterns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.text import ustrip
 from fundlake.schemas import MONTH_NAMES
 
-_SEP = "[/.-]"
-# Branches 1-6: numeric forms (pattern, group order meaning).
-P_MM_YY = rf"(?U)^(\d{{1,2}}){_SEP}(\d{{2}}(?:\d{{2}})?)$"
-P_YYYY = r"(?U)^(\d{4})$"
-P_YYYY_MM = rf"(?U)^(\d{{4}}){_SEP}(\d{{1,2}})$"
-P_YY_MM = rf"(?U)^(\d{{2}}){_SEP}(\d{{1,2}})$"
-P_MM_DD_YYYY = rf"(?U)^(\d{{1,2}}){_SEP}(\d{{1,2}}){_SEP}(\d{{4}})$"
-P_YYYY_MM_DD = rf"(?U)^(\d{{4}}){_SEP}(\d{{1,2}}){_SEP}(\d{{1,2}})$"
-# Branches 7-8: "<Month> <day>, <year>" with and without the comma.
-P_TEXT_COMMA = r"(?U)^(\w+)\s+(\d{1,2}),\s*(\d{4})$"
-P_TEXT_SPACE = r"(?U)^(\w+)\s+(\d{1,2})\s+(\d{4})$"
+# Digits separated by / . - (at most three groups of one to four digits).
+P_NUMERIC = r"(?U)^\d{1,4}(?:[/.-]\d{1,4}){0,2}$"
+P_NUMERIC_SPLIT = "[/.-]"
+# "<word> <1-2 digits>, <4 digits>" or the same with white space for the comma.
+P_TEXTUAL = r"(?U)^\w+\s+\d{1,2}(?:,\s*|\s+)\d{4}$"
+P_TEXTUAL_SPLIT = r"(?U)[\s,]+"
 # Day-of-month forms a "%d" directive accepts.
-P_DAY = r"^(3[01]|[12][0-9]|0[1-9]|[1-9])$"
-# Branch 9: ISO 8601 date, optionally followed by one separator character and
-# a time with an optional UTC offset. ASCII digits only.
-P_ISO_DATE = r"(?s)^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:(.)(.+))?$"
-P_ISO_BASIC = r"(?s)^([0-9]{4})([0-9]{2})([0-9]{2})(?:(.)(.+))?$"
-P_ISO_WEEK = r"(?s)^([0-9]{4})-W([0-9]{2})(?:-([0-9]))?(?:(.)(.+))?$"
-P_ISO_WEEK_BASIC = r"(?s)^([0-9]{4})W([0-9]{2})([0-9])?(?:(.)(.+))?$"
-P_ISO_TIME = (
-    r"^([0-9]{2})(?:(:?)([0-9]{2})(?:\2([0-9]{2})(?:[.,][0-9]+)?)?)?"
-    r"(?:Z|[+-]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,][0-9]+)?)?)?)?$"
+P_DAY = r"^(?:3[01]|[12][0-9]|0[1-9]|[1-9])$"
+# ISO time: hh[:mm[:ss[.f+]]] or hh[mm[ss[.f+]]], offset Z or +-hh[:mm[:ss[.f+]]].
+_TIME = (
+    r"(?:[01][0-9]|2[0-3])(?:(:?)[0-5][0-9](?:\1[0-5][0-9](?:[.,][0-9]+)?)?)?"
+    r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
 )
-
-
-def _g(s: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(s, pattern, idx)
-
-
-def _as_int(c: Column) -> Column:
-    return c.try_cast("int")
-
-
-def _last2(c: Column) -> Column:
-    return F.substring(c, -2, 2)
-
-
-def _mm_yy(month: Column, year: Column) -> Column:
-    """Zero-padded month and two-digit year from integers."""
-    return F.concat(
-        F.lpad(month.cast("string"), 2, "0"), F.lit("/"),
-        F.lpad(F.pmod(year, F.lit(100)).cast("string"), 2, "0"),
-    )
+P_ISO_CAL = rf"(?s)^[0-9]{{4}}(?:-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{4}})(?:.{_TIME})?$"
+P_ISO_WEEK = rf"(?s)^[0-9]{{4}}(?:-W[0-9]{{2}}(?:-[1-7])?|W[0-9]{{2}}[1-7]?)(?:.{_TIME})?$"
 
 
 def is_leap(year: Column) -> Column:
@@ -74,129 +59,163 @@ def days_in_month(year: Column, month: Column) -> Column:
 
 
 def _valid_ymd(y: Column, m: Column, d: Column) -> Column:
-    return (
-        y.isNotNull() & m.isNotNull() & d.isNotNull()
-        & (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1)
-        & (d <= days_in_month(y, m))
+    return (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1) & (d <= days_in_month(y, m))
+
+
+def _mm_yy(month: Column, year: Column) -> Column:
+    return F.concat(
+        F.lpad(month.cast("string"), 2, "0"), F.lit("/"),
+        F.lpad(F.pmod(year, F.lit(100)).cast("string"), 2, "0"),
     )
 
 
 def month_number(name: Column) -> Column:
     """1-12 for a full English month name (any case), else NULL."""
-    low = F.lower(name)
-    expr = None
-    for i, month in enumerate(MONTH_NAMES, start=1):
-        expr = (F.when if expr is None else expr.when)(low == month.lower(), F.lit(i))
-    return expr
-
-
-def _textual(s: Column, pattern: str) -> tuple[Column, Column]:
-    """(matched-and-valid, MM/YY) for branches 7 and 8."""
-    m = month_number(_g(s, pattern, 1))
-    day_txt = _g(s, pattern, 2)
-    d = _as_int(day_txt)
-    y = _as_int(_g(s, pattern, 3))
-    ok = s.rlike(pattern) & day_txt.rlike(P_DAY) & _valid_ymd(y, m, d)
-    return ok, _mm_yy(m, y)
-
-
-def _valid_time(rest: Column) -> Column:
-    """A time suffix the ISO parser accepts: ranges checked, offset < 24h."""
-    h = _as_int(_g(rest, P_ISO_TIME, 1))
-    mi = _as_int(F.nullif(_g(rest, P_ISO_TIME, 3), F.lit("")))
-    sec = _as_int(F.nullif(_g(rest, P_ISO_TIME, 4), F.lit("")))
-    oh = _as_int(F.nullif(_g(rest, P_ISO_TIME, 5), F.lit("")))
-    om = _as_int(F.nullif(_g(rest, P_ISO_TIME, 6), F.lit("")))
-    osec = _as_int(F.nullif(_g(rest, P_ISO_TIME, 7), F.lit("")))
+    months = F.array(*[F.lit(m.lower()) for m in MONTH_NAMES])
+    return F.nullif(F.array_position(months, F.lower(name)), F.lit(0)).cast("int")
+
+
+def _numeric_branch(p: Column) -> Column:
+    """Branches 1-6 from the split ``p`` of a text that matched ``P_NUMERIC``:
+    part count and part lengths pick the branch."""
+    n = F.size(p)
+    a, b, c = F.get(p, 0), F.get(p, 1), F.get(p, 2)
+    la, lb, lc = F.length(a), F.length(b), F.length(c)
+    last2 = lambda x: F.substring(x, -2, 2)
+    z2 = lambda x: F.lpad(x, 2, "0")
+    slash = F.lit("/")
     return (
-        rest.rlike(P_ISO_TIME)
-        & (h < 24)
-        & F.coalesce(mi < 60, F.lit(True))
-        & F.coalesce(sec < 60, F.lit(True))
-        & F.coalesce(oh < 24, F.lit(True))
-        & F.coalesce(om < 60, F.lit(True))
-        & F.coalesce(osec < 60, F.lit(True))
+        F.when((n == 2) & (la <= 2) & lb.isin(2, 4), F.concat(z2(a), slash, last2(b)))
+        .when((n == 1) & (la == 4), F.concat(F.lit("01/"), last2(a)))
+        .when((n == 2) & (la == 4) & (lb <= 2), F.concat(z2(b), slash, last2(a)))
+        .when((n == 2) & (la == 2) & (lb == 1), F.concat(z2(b), slash, a))
+        .when((n == 3) & (la <= 2) & (lb <= 2) & (lc == 4), F.concat(z2(a), slash, last2(c)))
+        .when((n == 3) & (la == 4) & (lb <= 2) & (lc <= 2), F.concat(z2(b), slash, last2(a)))
     )
 
 
-def _time_ok(s: Column, pattern: str) -> Column:
-    """No time part, or a valid one after a single separator character."""
-    rest = _g(s, pattern, 5)
-    return (rest == "") | _valid_time(rest)
-
-
-def _iso_calendar(s: Column, pattern: str) -> tuple[Column, Column]:
-    y = _as_int(_g(s, pattern, 1))
-    m = _as_int(_g(s, pattern, 2))
-    d = _as_int(_g(s, pattern, 3))
-    ok = s.rlike(pattern) & _valid_ymd(y, m, d) & _time_ok(s, pattern)
-    return ok, _mm_yy(m, y)
-
-
-def _iso_week(s: Column, pattern: str) -> tuple[Column, Column]:
-    y = _as_int(_g(s, pattern, 1))
-    w = _as_int(_g(s, pattern, 2))
-    dow = F.coalesce(_as_int(F.nullif(_g(s, pattern, 3), F.lit(""))), F.lit(1))
+def _textual_branch(p: Column) -> Column:
+    """Branches 7-8 from the split ``p`` of a text that matched ``P_TEXTUAL``:
+    full month name, a day a %d directive accepts, and a real calendar date."""
+    m = month_number(F.get(p, 0))
+    day_txt = F.get(p, 1)
+    d = day_txt.try_cast("int")
+    y = F.get(p, 2).try_cast("int")
+    ok = day_txt.rlike(P_DAY) & m.isNotNull() & _valid_ymd(y, m, d)
+    return F.when(ok, _mm_yy(m, y))
+
+
+def _iso_branch(s: Column) -> Column:
+    """Branch 9: ISO calendar date (extended or basic) or ISO week date, with an
+    optional single-character separator and time; month/year are taken from
+    the date as written (an offset never shifts them)."""
+    ext = F.substring(s, 5, 1) == "-"
+    y = F.substring(s, 1, 4).try_cast("int")
+    m = F.when(ext, F.substring(s, 6, 2)).otherwise(F.substring(s, 5, 2)).try_cast("int")
+    d = F.when(ext, F.substring(s, 9, 2)).otherwise(F.substring(s, 7, 2)).try_cast("int")
+    cal = F.when(s.rlike(P_ISO_CAL) & _valid_ymd(y, m, d), _mm_yy(m, y))
+
+    w = F.regexp_extract(s, r"^[0-9]{4}-?W([0-9]{2})", 1).try_cast("int")
+    dow = F.coalesce(
+        F.nullif(F.regexp_extract(s, r"^[0-9]{4}(?:-W[0-9]{2}-|W[0-9]{2})([1-7])", 1), F.lit(""))
+        .try_cast("int"),
+        F.lit(1),
+    )
     safe_y = F.when(y >= 1, y).otherwise(F.lit(2000))
     jan1_wd = F.weekday(F.make_date(safe_y, F.lit(1), F.lit(1)))
     has_w53 = (jan1_wd == 3) | ((jan1_wd == 2) & is_leap(safe_y))
-    week_ok = ((w >= 1) & (w <= 52)) | ((w == 53) & has_w53)
     jan4 = F.make_date(safe_y, F.lit(1), F.lit(4))
-    monday1 = F.date_sub(jan4, F.weekday(jan4))
-    day = F.date_add(monday1, (w - 1) * 7 + (dow - 1))
-    ok = (
-        s.rlike(pattern) & (y >= 1) & (dow >= 1) & (dow <= 7) & week_ok
-        & _time_ok(s, pattern)
-    )
-    return ok, F.date_format(day, "MM/yy")
+    day = F.date_add(F.date_sub(jan4, F.weekday(jan4)), (w - 1) * 7 + (dow - 1))
+    week_ok = s.rlike(P_ISO_WEEK) & (y >= 1) & (((w >= 1) & (w <= 52)) | ((w == 53) & has_w53))
+    week = F.when(week_ok, F.date_format(day, "MM/yy"))
+    return F.coalesce(cal, week)
 
 
 def standardize_date(raw: Column) -> Column:
-    """Normalise free-form date text to ``MM/YY``; NULL when nothing parses.
+    """Column form of the cascade (one expression; fine for ad-hoc use).
 
-    ``raw`` is the text of the value (see ``variant.python_text``); it is
-    stripped first. Branch order and the "invalid value falls through" rule
-    follow the original cascade exactly.
+    Hot paths should use ``with_standardized_date``, which stages the strip
+    and the splits as columns so generated code stays small.
     """
     s = ustrip(raw)
-    c7_ok, c7 = _textual(s, P_TEXT_COMMA)
-    c8_ok, c8 = _textual(s, P_TEXT_SPACE)
-    i1_ok, i1 = _iso_calendar(s, P_ISO_DATE)
-    i2_ok, i2 = _iso_calendar(s, P_ISO_BASIC)
-    i3_ok, i3 = _iso_week(s, P_ISO_WEEK)
-    i4_ok, i4 = _iso_week(s, P_ISO_WEEK_BASIC)
-    return (
-        F.when(s.isNull(), F.lit(None).cast("string"))
-        .when(
-            s.rlike(P_MM_YY),
-            F.concat(F.lpad(_g(s, P_MM_YY, 1), 2, "0"), F.lit("/"), _last2(_g(s, P_MM_YY, 2))),
-        )
-        .when(s.rlike(P_YYYY), F.concat(F.lit("01/"), _last2(_g(s, P_YYYY, 1))))
-        .when(
-            s.rlike(P_YYYY_MM),
-            F.concat(F.lpad(_g(s, P_YYYY_MM, 2), 2, "0"), F.lit("/"), _last2(_g(s, P_YYYY_MM, 1))),
-        )
-        .when(
-            s.rlike(P_YY_MM),
-            F.concat(F.lpad(_g(s, P_YY_MM, 2), 2, "0"), F.lit("/"), _g(s, P_YY_MM, 1)),
-        )
-        .when(
-            s.rlike(P_MM_DD_YYYY),
-            F.concat(
-                F.lpad(_g(s, P_MM_DD_YYYY, 1), 2, "0"), F.lit("/"), _last2(_g(s, P_MM_DD_YYYY, 3))
-            ),
-        )
-        .when(
-            s.rlike(P_YYYY_MM_DD),
-            F.concat(
-                F.lpad(_g(s, P_YYYY_MM_DD, 2), 2, "0"), F.lit("/"), _last2(_g(s, P_YYYY_MM_DD, 1))
+    return F.coalesce(
+        F.when(s.rlike(P_NUMERIC), _numeric_branch(F.split(s, P_NUMERIC_SPLIT))),
+        F.when(s.rlike(P_TEXTUAL), _textual_branch(F.split(s, P_TEXTUAL_SPLIT))),
+        _iso_branch(s),
+    )
+
+
+def with_standardized_date(df: DataFrame, src: str, dst: str) -> DataFrame:
+    """Add ``dst`` = ``src`` normalised to ``MM/YY`` (NULL when nothing parses).
+
+    ``src`` is the text of the value (see ``variant.python_text``). Staged so
+    generated code stays small: strip once; classify the shape once (numeric,
+    textual, ISO calendar, ISO week: the shapes are disjoint, and a numeric
+    shape always ends in one of branches 1-6 or none); split once; derive
+    year / month / day integers once; then validate and format.
+    """
+    s, kind, parts = "__date_s", "__date_kind", "__date_p"
+    y, m, d, w, dow = "__date_y", "__date_m", "__date_d", "__date_w", "__date_dow"
+    n, la, lb, lc, j4 = "__date_n", "__date_la", "__date_lb", "__date_lc", "__date_j4"
+    S, K, P = F.col(s), F.col(kind), F.col(parts)
+    staged = df.withColumn(s, ustrip(F.col(src)))
+    staged = staged.withColumn(
+        kind,
+        F.when(S.rlike(P_NUMERIC), F.lit(1))
+        .when(S.rlike(P_TEXTUAL), F.lit(2))
+        .when(S.rlike(P_ISO_CAL), F.lit(3))
+        .when(S.rlike(P_ISO_WEEK), F.lit(4)),
+    )
+    staged = staged.withColumn(
+        parts,
+        F.when(K == 1, F.split(S, P_NUMERIC_SPLIT)).when(K == 2, F.split(S, P_TEXTUAL_SPLIT)),
+    )
+    ext = F.substring(S, 5, 1) == "-"
+    staged = staged.withColumns({
+        n: F.when(K == 1, F.size(P)),
+        la: F.when(K == 1, F.length(F.get(P, 0))),
+        lb: F.when(K == 1, F.length(F.get(P, 1))),
+        lc: F.when(K == 1, F.length(F.get(P, 2))),
+        y: F.when(K == 2, F.get(P, 2).try_cast("int"))
+        .when(K >= 3, F.substring(S, 1, 4).try_cast("int")),
+        m: F.when(K == 2, month_number(F.get(P, 0)))
+        .when(K == 3, F.when(ext, F.substring(S, 6, 2)).otherwise(F.substring(S, 5, 2)).try_cast("int")),
+        d: F.when(K == 2, F.when(F.get(P, 1).rlike(P_DAY), F.get(P, 1).try_cast("int")))
+        .when(K == 3, F.when(ext, F.substring(S, 9, 2)).otherwise(F.substring(S, 7, 2)).try_cast("int")),
+        w: F.when(K == 4, F.regexp_extract(S, r"^[0-9]{4}-?W([0-9]{2})", 1).try_cast("int")),
+        dow: F.when(
+            K == 4,
+            F.coalesce(
+                F.regexp_extract(S, r"^[0-9]{4}(?:-W[0-9]{2}-|W[0-9]{2})([1-7])", 1).try_cast("int"),
+                F.lit(1),
             ),
-        )
-        .when(c7_ok, c7)
-        .when(c8_ok, c8)
-        .when(i1_ok, i1)
-        .when(i2_ok, i2)
-        .when(i3_ok, i3)
-        .when(i4_ok, i4)
-        .otherwise(F.lit(None).cast("string"))
+        ),
+    })
+    Y, M, D, W, DOW = F.col(y), F.col(m), F.col(d), F.col(w), F.col(dow)
+    N, LA, LB, LC = F.col(n), F.col(la), F.col(lb), F.col(lc)
+    # ISO week: Monday of week 1 is 4 January minus its weekday (0 = Monday);
+    # a year has week 53 when 1 January is a Thursday, or a Wednesday in a
+    # leap year (1 January's weekday is 4 January's minus 3, mod 7).
+    staged = staged.withColumn(j4, F.when((K == 4) & (Y >= 1), F.make_date(Y, F.lit(1), F.lit(4))))
+    J4 = F.col(j4)
+    wd4 = F.weekday(J4)
+    jan1_wd = F.pmod(wd4 - 3, F.lit(7))
+    has_w53 = (jan1_wd == 3) | ((jan1_wd == 2) & is_leap(Y))
+    week_day = F.date_add(J4, (W - 1) * 7 + (DOW - 1) - wd4)
+    week_ok = J4.isNotNull() & (((W >= 1) & (W <= 52)) | ((W == 53) & has_w53))
+    a, b, c = F.get(P, 0), F.get(P, 1), F.get(P, 2)
+    slash = F.lit("/")
+    numeric = (
+        F.when((N == 2) & (LA <= 2) & LB.isin(2, 4), F.concat(F.lpad(a, 2, "0"), slash, F.substring(b, -2, 2)))
+        .when((N == 1) & (LA == 4), F.concat(F.lit("01/"), F.substring(a, -2, 2)))
+        .when((N == 2) & (LA == 4) & (LB <= 2), F.concat(F.lpad(b, 2, "0"), slash, F.substring(a, -2, 2)))
+        .when((N == 2) & (LA == 2) & (LB == 1), F.concat(F.lpad(b, 2, "0"), slash, a))
+        .when((N == 3) & (LA <= 2) & (LB <= 2) & (LC == 4), F.concat(F.lpad(a, 2, "0"), slash, F.substring(c, -2, 2)))
+        .when((N == 3) & (LA == 4) & (LB <= 2) & (LC <= 2), F.concat(F.lpad(b, 2, "0"), slash, F.substring(a, -2, 2)))
+    )
+    out = (
+        F.when(K == 1, numeric)
+        .when((K == 2) | (K == 3), F.when(_valid_ymd(Y, M, D), _mm_yy(M, Y)))
+        .when(K == 4, F.when(week_ok, _mm_yy(F.month(week_day), F.year(week_day))))
     )
+    return staged.withColumn(dst, out).drop(s, kind, parts, y, m, d, w, dow, n, la, lb, lc, j4)

@@ -59,14 +59,15 @@ def string_value(v: Column) -> Column:
     return F.when(is_string(v), F.try_variant_get(v, "$", "string"))
 
 
-def truthy(v: Column) -> Column:
+def truthy(v: Column, t: Column | None = None) -> Column:
     """Python truthiness of a decoded JSON value.
 
     JSON null / missing, false, 0, "", [] and {} are false; everything else is
     true. Decided on the VARIANT type, never on the text, because the text of
-    the string "{}" and of the object {} look alike.
+    the string "{}" and of the object {} look alike. ``t`` may pass an
+    already computed ``vtype(v)`` so the type is derived once per value.
     """
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     return (
         F.when(v.isNull() | (t == "VOID"), F.lit(False))
         .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
@@ -77,7 +78,7 @@ def truthy(v: Column) -> Column:
     )
 
 
-def python_text(v: Column) -> Column:
+def python_text(v: Column, t: Column | None = None) -> Column:
     """Text a Python ``str()`` gives for the decoded JSON value.
 
     Strings are themselves; integers print as digits; fractional JSON numbers
@@ -85,7 +86,7 @@ def python_text(v: Column) -> Column:
     ``2021.0``); booleans print ``True``/``False``; containers fall back to
     their JSON text (no branch of the date cascade accepts either form).
     """
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t.isin(*_INTEGER_TYPES), F.try_variant_get(v, "$", "bigint").cast("string"))

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from fundlake.functions import amounts, dates, rounds, variant
 from fundlake.operators.joins import checked_join
-from fundlake.schemas import SCHEMA_ECHO_COLUMNS
+from fundlake.session import spread  # noqa: F401  (re-exported)
+from fundlake.schemas import SCHEMA_ECHO_COLUMNS, UNKNOWN_ROUND
 
 OK = "ok"
 NULL_CELL = "null_cell"
@@ -33,74 +34,130 @@ NULL_CELL = "null_cell"
 class Reconciled:
     companies: DataFrame  # one row per company, funding_rounds ARRAY<STRUCT>
     rounds: DataFrame  # flat: company, rank, round_name, date, amount, currency
-    quarantine: DataFrame  # rows the original would have aborted on, with reason
+    quarantine: DataFrame  # rows / elements the original would abort on, with reason
 
 
-def _keep_element(e: Column) -> Column:
-    """O-19: drop a schema echo (both ``type`` and ``properties`` truthy)."""
-    return ~(variant.truthy(variant.field(e, "type")) & variant.truthy(variant.field(e, "properties")))
+# Element order key: row order and array position packed into one exact
+# DECIMAL(38,0) so aggregates over it stay hash-based (a struct would force a
+# sort-based aggregate). Exact for row_ord < 1e29 and positions < 1e9.
+_POS_SPAN = 10**9
+ORD_TYPE = "decimal(38,0)"
 
 
-def _bad_element(e: Column) -> Column:
-    """An element the original loop would raise on: not an object; a truthy
-    non-string round name; a fractional amount outside the BIGINT range."""
-    rn = variant.field(e, "round_name")
-    kept = _keep_element(e)
-    bad_name = kept & rn.isNotNull() & ~variant.is_string(rn) & variant.truthy(rn)
-    bad_amount = kept & amounts.amount_out_of_range(variant.field(e, "amount"))
-    return ~variant.is_object(e) | bad_name | bad_amount
+# The element fields the stage reads, decoded in one cast.
+ELEMENT_STRUCT = (
+    "struct<type:variant,properties:variant,round_name:variant,"
+    "date:variant,amount:variant,currency_symbol:variant>"
+)
+
+
+def element_ord(row_ord: Column, pos: Column) -> Column:
+    return (row_ord.cast(ORD_TYPE) * F.lit(_POS_SPAN) + pos).cast(ORD_TYPE)
 
 
 def classify_rows(df: DataFrame, rounds_col: str = "funding_rounds") -> DataFrame:
-    """Add ``__v`` (VARIANT), ``__arr`` (ARRAY<VARIANT>) and ``__status``.
+    """Add ``__arr`` (ARRAY<VARIANT>) and ``__status`` per input row.
 
     ``null_cell`` rows are the ones the original drops with ``notna`` (O-17),
     including a JSON ``null`` text. ``{}`` and ``""`` iterate as empty lists
-    and stay. Anything else that is not a list is quarantined.
+    and stay. Malformed JSON and other top-level values are quarantined.
     """
     raw = F.col(rounds_col)
-    parsed = df.withColumn("__v", variant.parse(raw))
-    v = F.col("__v")
-    t = variant.vtype(v)
-    parsed = parsed.withColumn("__arr", variant.as_array(v))
-    arr = F.col("__arr")
+    staged = df.withColumn("__v", variant.parse(raw))
+    staged = staged.withColumn("__arr", variant.as_array(F.col("__v"))).withColumn(
+        "__t", F.when(F.col("__arr").isNull(), variant.vtype(F.col("__v")))
+    )
+    v, t, arr = F.col("__v"), F.col("__t"), F.col("__arr")
     status = (
         F.when(raw.isNull(), F.lit(NULL_CELL))
         .when(v.isNull(), F.lit("malformed_json"))
-        .when(arr.isNotNull(), F.when(F.exists(arr, _bad_element), F.lit("bad_element")).otherwise(F.lit(OK)))
+        .when(arr.isNotNull(), F.lit(OK))
         .when(t == "VOID", F.lit(NULL_CELL))
         .when(t == "OBJECT<>", F.lit(OK))
-        .when((t == "STRING") & (variant.string_value(v) == ""), F.lit(OK))
+        .when((t == "STRING") & (F.try_variant_get(v, "$", "string") == ""), F.lit(OK))
         .otherwise(F.lit("not_a_list"))
     )
-    return parsed.withColumn("__status", status)
+    return staged.withColumn("__status", status).drop("__v", "__t")
 
 
-def funding_elements(classified: DataFrame, key: str, order_col: str) -> DataFrame:
-    """One row per kept funding element with normalised fields.
+def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw: bool = False) -> DataFrame:
+    """One row per array element with its fields decoded and checked.
 
-    Columns: key, ord STRUCT<row_ord, pos>, round_name, date (MM/YY or NULL),
-    famt (BIGINT, floored), cur (STRING or NULL).
+    Columns: key, row_ord, pos, ord, kept, bad (reason or NULL), round_name,
+    date (MM/YY or NULL), famt (BIGINT), cur. Built in stages so every VARIANT
+    type is derived once and the generated code stays small.
     """
-    ex = classified.where((F.col("__status") == OK) & F.col("__arr").isNotNull()).select(
-        F.col(key), F.col(order_col).alias("row_ord"), F.posexplode("__arr").alias("pos", "e")
+    # Validity gates the generator instead of a Filter: a Filter on parse
+    # results would be pushed below the parse into the scan and re-run it.
+    ex = classified.select(
+        F.col(key),
+        F.col(order_col).alias("row_ord"),
+        F.posexplode(F.when(F.col("__status") == OK, F.col("__arr"))).alias("pos", "e"),
     )
     e = F.col("e")
-    ex = ex.where(_keep_element(e))
-    rn = variant.field(e, "round_name")
-    dv = variant.field(e, "date")
-    return ex.select(
-        F.col(key),
-        F.struct(F.col("row_ord"), F.col("pos")).alias("ord"),
-        F.when(variant.is_string(rn), rounds.fix_round_name(variant.string_value(rn)))
-        .otherwise(F.lit(rounds.UNKNOWN_ROUND))
-        .alias("round_name"),
-        F.when(variant.is_json_null(dv), F.lit(None).cast("string"))
-        .otherwise(dates.standardize_date(variant.python_text(dv)))
-        .alias("date"),
-        amounts.coerce_amount(variant.field(e, "amount")).alias("famt"),
-        variant.scalar_text(variant.field(e, "currency_symbol")).alias("cur"),
+    # One VARIANT -> struct cast decodes every field (NULL for a non-object).
+    ex = ex.select(F.col(key), "row_ord", "pos", e, F.try_variant_get(e, "$", ELEMENT_STRUCT).alias("f"))
+    ex = ex.select(
+        F.col(key), "row_ord", "pos", e,
+        F.col("f").isNotNull().alias("is_obj"),
+        F.col("f.type").alias("type_v"),
+        F.col("f.properties").alias("props_v"),
+        F.col("f.round_name").alias("rn_v"),
+        F.col("f.date").alias("date_v"),
+        F.col("f.amount").alias("amt_v"),
+        F.col("f.currency_symbol").alias("cur_v"),
+    )
+    ex = ex.select(
+        "*",
+        variant.vtype(F.col("type_v")).alias("type_t"),
+        variant.vtype(F.col("props_v")).alias("props_t"),
+        variant.vtype(F.col("rn_v")).alias("rn_t"),
+        variant.vtype(F.col("date_v")).alias("date_t"),
+        amounts.amount_kind(F.col("amt_v")).alias("amt_k"),
+    )
+    is_obj = F.col("is_obj")
+    echo = variant.truthy(F.col("type_v"), F.col("type_t")) & variant.truthy(
+        F.col("props_v"), F.col("props_t")
     )
+    rn_is_str = F.coalesce(F.col("rn_t") == "STRING", F.lit(False))
+    bad_name = F.col("rn_v").isNotNull() & ~rn_is_str & variant.truthy(F.col("rn_v"), F.col("rn_t"))
+    ex = ex.select(
+        F.col(key), "row_ord", "pos",
+        element_ord(F.col("row_ord"), F.col("pos")).alias("ord"),
+        (is_obj & ~echo).alias("kept"),
+        F.when(~is_obj, F.lit("element_not_object"))
+        .when(echo, F.lit(None))
+        .when(bad_name, F.lit("round_name_not_text"))
+        .when(amounts.amount_out_of_range(F.col("amt_v"), F.col("amt_k")), F.lit("amount_out_of_range"))
+        .alias("bad"),
+        F.when(rn_is_str, F.try_variant_get(F.col("rn_v"), "$", "string")).alias("rn_s"),
+        variant.scalar_text(F.col("rn_v")).alias("raw_name"),
+        F.col("amt_k"),
+        F.when(
+            F.col("date_v").isNotNull() & (F.col("date_t") != "VOID"),
+            variant.python_text(F.col("date_v"), F.col("date_t")),
+        ).alias("date_s"),
+        amounts.coerce_amount(F.col("amt_v"), F.col("amt_k")).alias("famt"),
+        variant.scalar_text(F.col("cur_v")).alias("cur"),
+        F.when(~is_obj | bad_name, F.to_json(e)).alias("element"),
+    )
+    ex = ex.withColumn(
+        "round_name",
+        F.when(F.col("rn_s").isNotNull(), rounds.fix_round_name(F.col("rn_s"))).otherwise(
+            F.lit(UNKNOWN_ROUND)
+        ),
+    )
+    out = dates.with_standardized_date(ex, "date_s", "date").drop("rn_s")
+    if keep_raw:
+        return out.withColumnRenamed("date_s", "raw_date")
+    return out.drop("date_s", "raw_name", "amt_k")
+
+
+def funding_elements(classified: DataFrame, key: str, order_col: str) -> DataFrame:
+    """Kept, well-formed elements: key, ord, round_name, date, famt, cur."""
+    return explode_elements(classified, key, order_col).where(
+        F.col("kept") & F.col("bad").isNull()
+    ).select(key, "ord", "round_name", "date", "famt", "cur")
 
 
 def merge_rounds(elements: DataFrame, key: str, **join_opts) -> DataFrame:
@@ -116,13 +173,12 @@ def merge_rounds(elements: DataFrame, key: str, **join_opts) -> DataFrame:
         elements.groupBy(*groups)
         .agg(
             F.min(F.when(F.col("date").isNotNull(), F.col("ord"))).alias("k"),
-            F.min_by(F.col("date"), F.when(F.col("date").isNotNull(), F.col("ord"))).alias("date"),
             F.count(F.lit(1)).alias("weight"),
         )
         .where(F.col("k").isNotNull())
     )
     tail = checked_join(
-        elements.drop("date"),
+        elements,
         firsts,
         groups,
         weight_col="weight",
@@ -131,7 +187,7 @@ def merge_rounds(elements: DataFrame, key: str, **join_opts) -> DataFrame:
     ).where(F.col("ord") >= F.col("k"))
     return tail.groupBy(*groups).agg(
         F.min("k").alias("k"),
-        F.min("date").alias("date"),
+        F.min_by(F.col("date"), F.col("ord")).alias("date"),
         F.greatest(F.max("famt"), F.lit(0).cast("bigint")).alias("amount"),
         F.min_by(F.col("cur"), F.when(F.col("cur").isNotNull(), F.col("ord"))).alias("currency_symbol"),
     )
@@ -154,10 +210,18 @@ def round_lists(merged: DataFrame, key: str) -> DataFrame:
 
 
 def first_rows(classified: DataFrame, key: str, order_col: str, rounds_col: str) -> DataFrame:
-    """O-53: the first row (by ``order_col``) of each company, nulls included."""
+    """O-53: the first valid row (by ``order_col``) of each company, nulls
+    included. Validity enters as a NULL ordering (ignored by ``min_by``) so no
+    Filter on parse results is pushed below the parse."""
     others = [c for c in classified.columns if c not in (key, rounds_col) and not c.startswith("__")]
-    picked = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("__first")
-    return classified.groupBy(key).agg(picked).select(key, *[F.col(f"__first.{c}").alias(c) for c in others])
+    valid_ord = F.when(F.col("__status") == OK, F.col(order_col))
+    picked = F.min_by(F.struct(*[F.col(c) for c in others]), valid_ord).alias("__first")
+    return (
+        classified.groupBy(key)
+        .agg(picked, F.max(valid_ord).alias("__any"))
+        .where(F.col("__any").isNotNull())
+        .select(key, *[F.col(f"__first.{c}").alias(c) for c in others])
+    )
 
 
 def reconcile_funding(
@@ -175,15 +239,17 @@ def reconcile_funding(
     group-by on a null key does; rows the original would abort on go to
     ``quarantine`` instead.
     """
-    base = df.where(F.col(key).isNotNull())
+    base = spread(df.where(F.col(key).isNotNull()))
     classified = classify_rows(base, rounds_col)
-    valid = classified.where(F.col("__status") == OK)
 
-    elements = funding_elements(classified, key, order_col)
+    exploded = explode_elements(classified, key, order_col)
+    elements = exploded.where(F.col("kept") & F.col("bad").isNull()).select(
+        key, "ord", "round_name", "date", "famt", "cur"
+    )
     merged = merge_rounds(elements, key, **join_opts)
     lists = round_lists(merged, key)
 
-    firsts = first_rows(valid, key, order_col, rounds_col)
+    firsts = first_rows(classified, key, order_col, rounds_col)
     companies = (
         firsts.join(lists, key, "left")
         .withColumn(
@@ -200,7 +266,12 @@ def reconcile_funding(
         F.col("r.amount").alias("amount"),
         F.col("r.currency_symbol").alias("currency_symbol"),
     )
-    quarantine = classified.where(~F.col("__status").isin(OK, NULL_CELL)).select(
-        F.col(key), F.col(order_col), F.col(rounds_col), F.col("__status").alias("reason")
+    bad_rows = classified.where(~F.col("__status").isin(OK, NULL_CELL)).select(
+        F.col(key), F.col(order_col).alias("row_ord"), F.lit(None).cast("int").alias("pos"),
+        F.col(rounds_col).alias("value"), F.col("__status").alias("reason"),
+    )
+    bad_elements = exploded.where(F.col("bad").isNotNull()).select(
+        F.col(key), "row_ord", "pos", F.col("element").alias("value"), F.col("bad").alias("reason")
     )
+    quarantine = bad_rows.unionByName(bad_elements)
     return Reconciled(companies=companies, rounds=flat, quarantine=quarantine)

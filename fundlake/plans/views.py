@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.schemas import MONTH_NAMES
+from fundlake.session import spread
 
 # FIXED VALUES of the synthetic funding view (FIXTURES.md §5), as JSON text.
 ROUND_NAME_CYCLE = (
@@ -41,10 +42,8 @@ def _q(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def _element(i: Column, y: Column, m: Column, dd: Column, amt: Column) -> Column:
-    amt_s = amt.cast("string")
-    day = dd.cast("int").cast("string")
-    month_name = _pick(m.cast("int") - 1, list(MONTH_NAMES))
+def _element(i: Column, y: Column, m: Column, dd: Column, amt_s: Column, day: Column,
+             month_name: Column) -> Column:
     name = _pick(i % 12, ROUND_NAME_CYCLE)
     amount = (
         F.when(i % 7 == 0, F.lit('"5M"'))
@@ -82,12 +81,28 @@ def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     One row per order; the company is the ordering customer, so each company
     has several rows whose rounds must be reconciled.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    orders = spread(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("o_orderkey")
-    d = F.col("o_orderdate").cast("date").cast("string")
-    y, m, dd = F.substring(d, 1, 4), F.substring(d, 6, 2), F.substring(d, 9, 2)
-    amt = F.floor(F.col("o_totalprice")).cast("bigint")
+    # Staged so each piece is computed once per row.
+    parts = orders.withColumn("d", F.col("o_orderdate").cast("date").cast("string")).select(
+        "o_orderkey", "o_custkey",
+        F.substring("d", 1, 4).alias("y"), F.substring("d", 6, 2).alias("m"),
+        F.substring("d", 9, 2).alias("dd"),
+        F.floor(F.col("o_totalprice")).cast("bigint").cast("string").alias("amt_s"),
+    )
+    parts = parts.withColumns({
+        "day": F.col("dd").cast("int").cast("string"),
+        "month_name": _pick(F.col("m").cast("int") - 1, list(MONTH_NAMES)),
+    })
+    y, m, dd, amt_s = F.col("y"), F.col("m"), F.col("dd"), F.col("amt_s")
+    day, month_name = F.col("day"), F.col("month_name")
+    parts = parts.withColumns({
+        "e1": _element(k, y, m, dd, amt_s, day, month_name),
+        "e2": _element(k + 5, y, m, dd, amt_s, day, month_name),
+    })
     rounds = (
         F.when(k % 13 == 0, F.lit(None).cast("string"))
         .when(k % 17 == 0, F.lit("[]"))
@@ -95,14 +110,14 @@ def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(
                 F.lit("["),
                 F.when(k % 19 == 0, F.lit(ECHO_ELEMENT)).otherwise(F.lit("")),
-                _element(k, y, m, dd, amt),
+                F.col("e1"),
                 F.lit(","),
-                _element(k + 5, y, m, dd, amt),
+                F.col("e2"),
                 F.lit("]"),
             )
         )
     )
-    return orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
+    return parts.join(customer, parts.o_custkey == customer.c_custkey, "inner").select(
         k.alias("row_ord"),
         F.col("c_name").alias("company_name"),
         F.md5(k.cast("string")).alias("uuid"),

@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Fall back to per-expression codegen for a stage whose fused method is
+    # too large for the JIT (the JVM does not compile methods over 8000 bytes
+    # of bytecode and would interpret them).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -60,11 +64,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the shared checkpoint folder (eager).
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder and reading it back (one job; an RDD checkpoint would compute the
+    data twice). Survives executor loss, unlike a local checkpoint, and the
+    stored table is cheap to count."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    Survives executor loss (unlike a local checkpoint) and lets the caller
-    take a cheap row count of the stored result.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a CPU-heavy stage over all cores when its input is too coarse.
+
+    A small table can arrive as one file split, which would put every row's
+    parsing in one task. Only then (fewer partitions than task slots) is the
+    input repartitioned; a large input already has many splits and is left
+    alone, so no shuffle is added at scale.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    split_bytes = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 * 1024 * 1024)
+    # The optimizer's size estimate: planning only, nothing is executed (an
+    # RDD partition count would run the plan's stages under AQE).
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < slots * split_bytes:
+        return df.repartition(slots)
+    return df
+
+
+def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
+    raw = spark.conf.get(key, None)
+    if raw is None:
+        return default
+    raw = raw.strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
+        if raw.endswith(suffix):
+            num = raw[: -len(suffix)]
+            return int(float(num) * units.get(suffix[0], 1)) if suffix != "b" else int(num)
+    return int(raw)

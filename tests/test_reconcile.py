@@ -70,11 +70,12 @@ def test_quarantine_and_null_cells(spark):
     ]
     res = _run(spark, rows)
     q = {r.company_name: r.reason for r in res.quarantine.collect()}
-    assert q == {"a": "malformed_json", "b": "not_a_list", "c": "bad_element", "d": "not_a_list",
-                 "e": "malformed_json", "k": "bad_element"}
+    assert q == {"a": "malformed_json", "b": "not_a_list", "c": "element_not_object", "d": "not_a_list",
+                 "e": "malformed_json", "k": "round_name_not_text"}
     companies = {r.company_name: r.funding_rounds for r in res.companies.collect()}
-    assert set(companies) == {"h", "i", "j", "l"}
-    assert companies["h"] == [] and companies["i"] == []
+    # Rows with a rejected element stay; only that element is quarantined.
+    assert set(companies) == {"c", "h", "i", "j", "k", "l"}
+    assert companies["h"] == [] and companies["i"] == [] and companies["c"] == []
     assert [(r.round_name, r.date) for r in companies["l"]] == [("Unknown", "01/21")]
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.schemas import RATE_LIMIT_MARKER
+from fundlake.session import ship_package
 
 RowFn = Callable[[dict], tuple[str, int]]
 RESULT_SCHEMA = "value string, error string, total_tokens bigint"
@@ -59,6 +60,7 @@ def batched_map(
             if pool:
                 pool.shutdown()
 
+    ship_package(df.sparkSession)
     return df.select(*cols).mapInPandas(run, schema)
 
 

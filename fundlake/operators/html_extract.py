@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.session import ship_package
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
 
@@ -258,6 +260,7 @@ def extract_listings(pages: DataFrame, spec: ListingSpec = ListingSpec(), keys=(
             cols = keys + ["pos", "title", "url_found", "author", "publication_date", "error"]
             yield pd.DataFrame(rows, columns=cols)
 
+    ship_package(pages.sparkSession)
     return pages.select(*keys, html_col).mapInPandas(run, schema)
 
 
@@ -277,6 +280,7 @@ def extract_articles(pages: DataFrame, spec: ArticleSpec = ArticleSpec(), keys=(
                 out[f] = [r[f] for r in recs]
             yield out
 
+    ship_package(pages.sparkSession)
     return pages.select(*keys, html_col).mapInPandas(run, schema)
 
 

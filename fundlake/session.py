@@ -104,3 +104,32 @@ def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
             num = raw[: -len(suffix)]
             return int(float(num) * units.get(suffix[0], 1)) if suffix != "b" else int(num)
     return int(raw)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fundlake`` importable on executors (needed by the operators that
+    run Python per batch): zip the package into the shared folder once per
+    application and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles") + ".zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # a remote shared folder: build locally, then let Spark ship it
+        local = os.path.join(tempfile.mkdtemp(prefix="fundlake-zip-"), "fundlake.zip")
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.join("fundlake", os.path.relpath(full, pkg_dir)))
+    sc.addPyFile(local)
+    _SHIPPED.add(app)

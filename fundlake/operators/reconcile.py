@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions import amounts, dates, rounds, variant
 from fundlake.operators.joins import checked_join
-from fundlake.session import spread  # noqa: F401  (re-exported)
+from fundlake.session import materialize, spread
 from fundlake.schemas import SCHEMA_ECHO_COLUMNS, UNKNOWN_ROUND
 
 OK = "ok"
@@ -230,6 +230,7 @@ def reconcile_funding(
     order_col: str = "row_ord",
     rounds_col: str = "funding_rounds",
     drop_columns: tuple[str, ...] = SCHEMA_ECHO_COLUMNS,
+    materialize_elements: bool = True,
     **join_opts,
 ) -> Reconciled:
     """Reconcile duplicate funding rounds per company (the step-3 stage).
@@ -243,9 +244,14 @@ def reconcile_funding(
     classified = classify_rows(base, rounds_col)
 
     exploded = explode_elements(classified, key, order_col)
+    # Normalised elements are written once to the shared folder: both merge
+    # phases read them (the JSON parse and date cascade run once), and the
+    # lineage is cut there, so a lost executor does not re-run the parse.
     elements = exploded.where(F.col("kept") & F.col("bad").isNull()).select(
         key, "ord", "round_name", "date", "famt", "cur"
     )
+    if materialize_elements:
+        elements = materialize(elements, "funding-elements")
     merged = merge_rounds(elements, key, **join_opts)
     lists = round_lists(merged, key)
 

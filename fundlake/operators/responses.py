@@ -54,6 +54,42 @@ def unwrap_envelope(output_json: Column) -> Column:
     return F.when(variant.truthy(inner), inner).otherwise(outer)
 
 
+def with_classified_response(df: DataFrame, text_col: str) -> DataFrame:
+    """O-42 + O-43 + O-41 as staged columns (each parse happens once): adds
+    kind, output, tool, tool_input and ``obj`` (the unwrapped VARIANT)."""
+    staged = df.withColumn("__t", ustrip(F.col(text_col)))
+    t = F.col("__t")
+    staged = staged.withColumns({
+        "__final": t.contains("Final Answer"),
+        "__tail": F.element_at(F.split(t, FINAL_ANSWER_MARKER, -1), -1),
+    })
+    staged = staged.withColumns({
+        "__parsed": F.when(~F.col("__final"), F.try_parse_json(t)),
+        "__cut": F.when(F.col("__final"), ustrip(F.substring("__tail", F.lit(1), F.length("__tail") - 1))),
+    })
+    staged = staged.withColumns({
+        "__cut_v": F.try_parse_json("__cut"),
+        "__action": F.try_variant_get("__parsed", "$.Action", "variant"),
+        "__action_input": F.try_variant_get("__parsed", "$['Action Input']", "variant"),
+    })
+    is_tool = (~F.col("__final") & F.col("__action").isNotNull() & F.col("__action_input").isNotNull()
+               & t.contains("Action Input"))
+    staged = staged.withColumns({
+        "kind": F.when(F.col("__final"), F.lit("final")).when(is_tool, F.lit("tool")).otherwise(F.lit("unparseable")),
+        "output": F.when(F.col("__final"), F.when(F.col("__cut_v").isNull(), F.concat("__cut", F.lit("}")))
+                         .otherwise(F.col("__cut"))),
+        "__out_v": F.when(F.col("__final"), F.coalesce(F.col("__cut_v"), F.try_parse_json(F.concat("__cut", F.lit("}"))))),
+        "tool": F.when(is_tool, variant.scalar_text(F.col("__action"))),
+        "tool_input": F.when(is_tool, variant.scalar_text(F.col("__action_input"))),
+    })
+    staged = staged.withColumn("__outer", variant.field(F.col("__out_v"), "properties"))
+    staged = staged.withColumn("__inner", variant.field(F.col("__outer"), "properties"))
+    staged = staged.withColumn("__inner_t", variant.vtype(F.col("__inner")))
+    staged = staged.withColumn(
+        "obj", F.when(variant.truthy(F.col("__inner"), F.col("__inner_t")), F.col("__inner")).otherwise(F.col("__outer")))
+    return staged.drop(*[c for c in staged.columns if c.startswith("__")])
+
+
 def object_keys(v: Column) -> Column:
     """Keys of a JSON object (NULL for anything else)."""
     return F.when(variant.is_object(v), F.json_object_keys(F.to_json(v)))

@@ -159,7 +159,8 @@ def q_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.operators.lookup import text_search
     from fundlake.plans.views import table
 
-    top, _unanchored = text_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=3)
+    docs = R.spread(table(spark, sf_dir, "documents"))
+    top, _unanchored = text_search(table(spark, sf_dir, "benchmark"), docs, k=3)
     return top
 
 
@@ -229,11 +230,8 @@ def q_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     validate every landed response against a {k: integer} schema."""
     from fundlake.operators import responses as RS
 
-    df = responses_view(spark, sf_dir)
-    kind, output, tool, tool_input = RS.classify_response(F.col("raw"))
-    df = df.select("event_id", kind.alias("kind"), output.alias("output"), tool.alias("tool"),
-                   tool_input.alias("tool_input"))
-    obj = RS.unwrap_envelope(F.col("output"))
+    df = RS.with_classified_response(R.spread(responses_view(spark, sf_dir)), "raw")
+    obj = F.col("obj")
     missing, extra, bad_types = RS.validate_object(obj, ["k"], ["k"], {"k": ["integer"]})
     return df.select(
         "event_id", "kind", "tool", "tool_input",

@@ -83,11 +83,14 @@ def spread(df: DataFrame) -> DataFrame:
     alone, so no shuffle is added at scale.
     """
     spark = df.sparkSession
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Repartition" in plan.toString():  # already spread upstream
+        return df
     slots = spark.sparkContext.defaultParallelism
     split_bytes = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 * 1024 * 1024)
     # The optimizer's size estimate: planning only, nothing is executed (an
     # RDD partition count would run the plan's stages under AQE).
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    estimate = int(str(plan.stats().sizeInBytes()))
     if estimate < slots * split_bytes:
         return df.repartition(slots)
     return df

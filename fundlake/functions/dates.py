@@ -145,6 +145,27 @@ def standardize_date(raw: Column) -> Column:
     )
 
 
+def _sql_lit(text: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _stage_sql(src: str) -> tuple[list[str], list[str], str]:
+    """The staged cascade as SQL expressions (built once per call from the
+    fixed patterns; one parse on the JVM instead of hundreds of Column calls)."""
+    num, txt, cal, week = (_sql_lit(p) for p in (P_NUMERIC, P_TEXTUAL, P_ISO_CAL, P_ISO_WEEK))
+    strip = _sql_lit(r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$")
+    months = ", ".join(_sql_lit(m.lower()) for m in MONTH_NAMES)
+    stage1 = [f"regexp_replace(`{src}`, {strip}, '') AS __date_s"]
+    stage2 = [
+        f"""CASE WHEN __date_s RLIKE {num} THEN 1 WHEN __date_s RLIKE {txt} THEN 2
+                 WHEN __date_s RLIKE {cal} THEN 3 WHEN __date_s RLIKE {week} THEN 4 END AS __date_kind""",
+    ]
+    return stage1, stage2, f"""
+      CASE WHEN __date_kind = 1 THEN split(__date_s, {_sql_lit(P_NUMERIC_SPLIT)})
+           WHEN __date_kind = 2 THEN split(__date_s, {_sql_lit(P_TEXTUAL_SPLIT)}) END AS __date_p""" + "|" + months
+
+
 def with_standardized_date(df: DataFrame, src: str, dst: str) -> DataFrame:
     """Add ``dst`` = ``src`` normalised to ``MM/YY`` (NULL when nothing parses).
 
@@ -152,70 +173,61 @@ def with_standardized_date(df: DataFrame, src: str, dst: str) -> DataFrame:
     generated code stays small: strip once; classify the shape once (numeric,
     textual, ISO calendar, ISO week: the shapes are disjoint, and a numeric
     shape always ends in one of branches 1-6 or none); split once; derive
-    year / month / day integers once; then validate and format.
+    year / month / day integers once; then validate and format. Written as
+    SQL expressions: the same logic as the Column helpers above, built with
+    one JVM call per stage.
     """
-    s, kind, parts = "__date_s", "__date_kind", "__date_p"
-    y, m, d, w, dow = "__date_y", "__date_m", "__date_d", "__date_w", "__date_dow"
-    n, la, lb, lc, j4 = "__date_n", "__date_la", "__date_lb", "__date_lc", "__date_j4"
-    S, K, P = F.col(s), F.col(kind), F.col(parts)
-    staged = df.withColumn(s, ustrip(F.col(src)))
-    staged = staged.withColumn(
-        kind,
-        F.when(S.rlike(P_NUMERIC), F.lit(1))
-        .when(S.rlike(P_TEXTUAL), F.lit(2))
-        .when(S.rlike(P_ISO_CAL), F.lit(3))
-        .when(S.rlike(P_ISO_WEEK), F.lit(4)),
-    )
-    staged = staged.withColumn(
-        parts,
-        F.when(K == 1, F.split(S, P_NUMERIC_SPLIT)).when(K == 2, F.split(S, P_TEXTUAL_SPLIT)),
-    )
-    ext = F.substring(S, 5, 1) == "-"
-    staged = staged.withColumns({
-        n: F.when(K == 1, F.size(P)),
-        la: F.when(K == 1, F.length(F.get(P, 0))),
-        lb: F.when(K == 1, F.length(F.get(P, 1))),
-        lc: F.when(K == 1, F.length(F.get(P, 2))),
-        y: F.when(K == 2, F.get(P, 2).try_cast("int"))
-        .when(K >= 3, F.substring(S, 1, 4).try_cast("int")),
-        m: F.when(K == 2, month_number(F.get(P, 0)))
-        .when(K == 3, F.when(ext, F.substring(S, 6, 2)).otherwise(F.substring(S, 5, 2)).try_cast("int")),
-        d: F.when(K == 2, F.when(F.get(P, 1).rlike(P_DAY), F.get(P, 1).try_cast("int")))
-        .when(K == 3, F.when(ext, F.substring(S, 9, 2)).otherwise(F.substring(S, 7, 2)).try_cast("int")),
-        w: F.when(K == 4, F.regexp_extract(S, r"^[0-9]{4}-?W([0-9]{2})", 1).try_cast("int")),
-        dow: F.when(
-            K == 4,
-            F.coalesce(
-                F.regexp_extract(S, r"^[0-9]{4}(?:-W[0-9]{2}-|W[0-9]{2})([1-7])", 1).try_cast("int"),
-                F.lit(1),
-            ),
-        ),
-    })
-    Y, M, D, W, DOW = F.col(y), F.col(m), F.col(d), F.col(w), F.col(dow)
-    N, LA, LB, LC = F.col(n), F.col(la), F.col(lb), F.col(lc)
-    # ISO week: Monday of week 1 is 4 January minus its weekday (0 = Monday);
-    # a year has week 53 when 1 January is a Thursday, or a Wednesday in a
-    # leap year (1 January's weekday is 4 January's minus 3, mod 7).
-    staged = staged.withColumn(j4, F.when((K == 4) & (Y >= 1), F.make_date(Y, F.lit(1), F.lit(4))))
-    J4 = F.col(j4)
-    wd4 = F.weekday(J4)
-    jan1_wd = F.pmod(wd4 - 3, F.lit(7))
-    has_w53 = (jan1_wd == 3) | ((jan1_wd == 2) & is_leap(Y))
-    week_day = F.date_add(J4, (W - 1) * 7 + (DOW - 1) - wd4)
-    week_ok = J4.isNotNull() & (((W >= 1) & (W <= 52)) | ((W == 53) & has_w53))
-    a, b, c = F.get(P, 0), F.get(P, 1), F.get(P, 2)
-    slash = F.lit("/")
-    numeric = (
-        F.when((N == 2) & (LA <= 2) & LB.isin(2, 4), F.concat(F.lpad(a, 2, "0"), slash, F.substring(b, -2, 2)))
-        .when((N == 1) & (LA == 4), F.concat(F.lit("01/"), F.substring(a, -2, 2)))
-        .when((N == 2) & (LA == 4) & (LB <= 2), F.concat(F.lpad(b, 2, "0"), slash, F.substring(a, -2, 2)))
-        .when((N == 2) & (LA == 2) & (LB == 1), F.concat(F.lpad(b, 2, "0"), slash, a))
-        .when((N == 3) & (LA <= 2) & (LB <= 2) & (LC == 4), F.concat(F.lpad(a, 2, "0"), slash, F.substring(c, -2, 2)))
-        .when((N == 3) & (LA == 4) & (LB <= 2) & (LC <= 2), F.concat(F.lpad(b, 2, "0"), slash, F.substring(a, -2, 2)))
-    )
-    out = (
-        F.when(K == 1, numeric)
-        .when((K == 2) | (K == 3), F.when(_valid_ymd(Y, M, D), _mm_yy(M, Y)))
-        .when(K == 4, F.when(week_ok, _mm_yy(F.month(week_day), F.year(week_day))))
+    stage1, stage2, rest = _stage_sql(src)
+    split_expr, months = rest.split("|")
+    day = _sql_lit(P_DAY)
+    week_no = _sql_lit(r"^[0-9]{4}-?W([0-9]{2})")
+    week_dow = _sql_lit(r"^[0-9]{4}(?:-W[0-9]{2}-|W[0-9]{2})([1-7])")
+    cols = df.columns
+    keep = [f"`{c}`" for c in cols]
+    ext = "substring(__date_s, 5, 1) = '-'"
+    leap = "((__date_y % 4 = 0 AND __date_y % 100 <> 0) OR __date_y % 400 = 0)"
+    dim = f"CASE WHEN __date_m = 2 THEN CASE WHEN {leap} THEN 29 ELSE 28 END WHEN __date_m IN (4, 6, 9, 11) THEN 30 ELSE 31 END"
+    valid = f"(__date_y >= 1 AND __date_m BETWEEN 1 AND 12 AND __date_d >= 1 AND __date_d <= {dim})"
+    mm_yy = "concat(lpad(CAST({m} AS STRING), 2, '0'), '/', lpad(CAST(pmod({y}, 100) AS STRING), 2, '0'))"
+    a, b, c = "get(__date_p, 0)", "get(__date_p, 1)", "get(__date_p, 2)"
+    numeric = f"""CASE
+        WHEN __date_n = 2 AND __date_la <= 2 AND __date_lb IN (2, 4) THEN concat(lpad({a}, 2, '0'), '/', substring({b}, -2, 2))
+        WHEN __date_n = 1 AND __date_la = 4 THEN concat('01/', substring({a}, -2, 2))
+        WHEN __date_n = 2 AND __date_la = 4 AND __date_lb <= 2 THEN concat(lpad({b}, 2, '0'), '/', substring({a}, -2, 2))
+        WHEN __date_n = 2 AND __date_la = 2 AND __date_lb = 1 THEN concat(lpad({b}, 2, '0'), '/', {a})
+        WHEN __date_n = 3 AND __date_la <= 2 AND __date_lb <= 2 AND __date_lc = 4 THEN concat(lpad({a}, 2, '0'), '/', substring({c}, -2, 2))
+        WHEN __date_n = 3 AND __date_la = 4 AND __date_lb <= 2 AND __date_lc <= 2 THEN concat(lpad({b}, 2, '0'), '/', substring({a}, -2, 2))
+      END"""
+    jan1_wd = "pmod(weekday(__date_j4) - 3, 7)"
+    week_ok = (f"(__date_j4 IS NOT NULL AND ((__date_w BETWEEN 1 AND 52) OR "
+               f"(__date_w = 53 AND ({jan1_wd} = 3 OR ({jan1_wd} = 2 AND {leap})))))")
+    week_day = "date_add(__date_j4, (__date_w - 1) * 7 + (__date_dow - 1) - weekday(__date_j4))"
+    out = f"""CASE
+        WHEN __date_kind = 1 THEN {numeric}
+        WHEN __date_kind IN (2, 3) THEN CASE WHEN {valid} THEN {mm_yy.format(m='__date_m', y='__date_y')} END
+        WHEN __date_kind = 4 THEN CASE WHEN {week_ok} THEN {mm_yy.format(m=f'month({week_day})', y=f'year({week_day})')} END
+      END AS `{dst}`"""
+    staged = df.selectExpr(*keep, *stage1)
+    staged = staged.selectExpr(*keep, "__date_s", *stage2)
+    staged = staged.selectExpr(*keep, "__date_s", "__date_kind", split_expr)
+    staged = staged.selectExpr(
+        *keep, "__date_s", "__date_kind", "__date_p",
+        "CASE WHEN __date_kind = 1 THEN size(__date_p) END AS __date_n",
+        f"CASE WHEN __date_kind = 1 THEN length({a}) END AS __date_la",
+        f"CASE WHEN __date_kind = 1 THEN length({b}) END AS __date_lb",
+        f"CASE WHEN __date_kind = 1 THEN length({c}) END AS __date_lc",
+        f"""CASE WHEN __date_kind = 2 THEN try_cast({c} AS INT)
+                 WHEN __date_kind >= 3 THEN try_cast(substring(__date_s, 1, 4) AS INT) END AS __date_y""",
+        f"""CASE WHEN __date_kind = 2 THEN nullif(array_position(array({months}), lower({a})), 0)
+                 WHEN __date_kind = 3 THEN try_cast(CASE WHEN {ext} THEN substring(__date_s, 6, 2)
+                                                        ELSE substring(__date_s, 5, 2) END AS INT) END AS __date_m""",
+        f"""CASE WHEN __date_kind = 2 THEN CASE WHEN {b} RLIKE {day} THEN try_cast({b} AS INT) END
+                 WHEN __date_kind = 3 THEN try_cast(CASE WHEN {ext} THEN substring(__date_s, 9, 2)
+                                                        ELSE substring(__date_s, 7, 2) END AS INT) END AS __date_d""",
+        f"CASE WHEN __date_kind = 4 THEN try_cast(regexp_extract(__date_s, {week_no}, 1) AS INT) END AS __date_w",
+        f"""CASE WHEN __date_kind = 4 THEN coalesce(try_cast(regexp_extract(__date_s, {week_dow}, 1) AS INT), 1)
+            END AS __date_dow""",
     )
-    return staged.withColumn(dst, out).drop(s, kind, parts, y, m, d, w, dow, n, la, lb, lc, j4)
+    staged = staged.selectExpr(
+        "*", "CASE WHEN __date_kind = 4 AND __date_y >= 1 THEN make_date(__date_y, 1, 4) END AS __date_j4")
+    return staged.selectExpr(*keep, out)

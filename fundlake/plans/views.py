@@ -42,37 +42,28 @@ def _q(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def _element(i: Column, y: Column, m: Column, dd: Column, amt_s: Column, day: Column,
-             month_name: Column) -> Column:
-    name = _pick(i % 12, ROUND_NAME_CYCLE)
-    amount = (
-        F.when(i % 7 == 0, F.lit('"5M"'))
-        .when(i % 7 == 1, F.lit("null"))
-        .when(i % 7 == 2, F.lit("true"))
-        .when(i % 7 == 3, F.concat(amt_s, F.lit(".5")))
-        .otherwise(amt_s)
-    )
-    date = _pick(
-        i % 11,
-        [
-            _q(F.concat(m, F.lit("/"), F.substring(y, 3, 2))),
-            _q(y),
-            _q(F.concat(y, F.lit("-"), m)),
-            _q(F.concat(y, F.lit("-"), m, F.lit("-"), dd)),
-            _q(F.concat(m, F.lit("/"), dd, F.lit("/"), y)),
-            _q(F.concat(month_name, F.lit(" "), day, F.lit(", "), y)),
-            _q(F.concat(y, F.lit("-"), m, F.lit("-"), dd, F.lit("T10:00:00"))),
-            y,
-            F.lit("null"),
-            F.lit('"unknown"'),
-            _q(F.concat(m, F.lit("."), y)),
-        ],
-    )
-    currency = _pick(i % 4, CURRENCY_CYCLE)
-    return F.concat(
-        F.lit('{"round_name":'), name, F.lit(',"amount":'), amount, F.lit(',"date":'), date,
-        F.lit(',"currency_symbol":'), currency, F.lit("}"),
-    )
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _cycle(index_sql: str, values) -> str:
+    return "CASE " + " ".join(f"WHEN {index_sql} = {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+def _element_sql(i: str) -> str:
+    """One funding element as JSON text (FIXTURES.md §5), as a SQL expression."""
+    q = lambda x: f"concat('\"', {x}, '\"')"
+    name = _cycle(f"({i}) % 12", [_sql(v) for v in ROUND_NAME_CYCLE])
+    amount = (f"CASE ({i}) % 7 WHEN 0 THEN '\"5M\"' WHEN 1 THEN 'null' WHEN 2 THEN 'true' "
+              f"WHEN 3 THEN concat(amt_s, '.5') ELSE amt_s END")
+    date = _cycle(f"({i}) % 11", [
+        q("m, '/', substring(y, 3, 2)"), q("y"), q("y, '-', m"), q("y, '-', m, '-', dd"),
+        q("m, '/', dd, '/', y"), q("month_name, ' ', day, ', ', y"),
+        q("y, '-', m, '-', dd, 'T10:00:00'"), "y", "'null'", "'\"unknown\"'", q("m, '.', y"),
+    ])
+    cur = _cycle(f"({i}) % 4", [_sql(v) for v in CURRENCY_CYCLE])
+    return (f"concat('{{\"round_name\":', {name}, ',\"amount\":', {amount}, ',\"date\":', {date}, "
+            f"',\"currency_symbol\":', {cur}, '}}')")
 
 
 def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,38 +76,21 @@ def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    k = F.col("o_orderkey")
-    # Staged so each piece is computed once per row.
-    parts = orders.withColumn("d", F.col("o_orderdate").cast("date").cast("string")).select(
-        "o_orderkey", "o_custkey",
-        F.substring("d", 1, 4).alias("y"), F.substring("d", 6, 2).alias("m"),
-        F.substring("d", 9, 2).alias("dd"),
-        F.floor(F.col("o_totalprice")).cast("bigint").cast("string").alias("amt_s"),
-    )
-    parts = parts.withColumns({
-        "day": F.col("dd").cast("int").cast("string"),
-        "month_name": _pick(F.col("m").cast("int") - 1, list(MONTH_NAMES)),
-    })
-    y, m, dd, amt_s = F.col("y"), F.col("m"), F.col("dd"), F.col("amt_s")
-    day, month_name = F.col("day"), F.col("month_name")
-    parts = parts.withColumns({
-        "e1": _element(k, y, m, dd, amt_s, day, month_name),
-        "e2": _element(k + 5, y, m, dd, amt_s, day, month_name),
-    })
-    rounds = (
-        F.when(k % 13 == 0, F.lit(None).cast("string"))
-        .when(k % 17 == 0, F.lit("[]"))
-        .otherwise(
-            F.concat(
-                F.lit("["),
-                F.when(k % 19 == 0, F.lit(ECHO_ELEMENT)).otherwise(F.lit("")),
-                F.col("e1"),
-                F.lit(","),
-                F.col("e2"),
-                F.lit("]"),
-            )
-        )
+    # Built as SQL expressions (one JVM call per stage); staged so each piece
+    # is computed once per row.
+    months = _cycle("CAST(m AS INT) - 1", [_sql(mn) for mn in MONTH_NAMES])
+    parts = orders.selectExpr("o_orderkey", "o_custkey", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS d",
+                              "CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) AS amt_s")
+    parts = parts.selectExpr("o_orderkey", "o_custkey", "substring(d, 1, 4) AS y", "substring(d, 6, 2) AS m",
+                             "substring(d, 9, 2) AS dd", "amt_s")
+    parts = parts.selectExpr("*", "CAST(CAST(dd AS INT) AS STRING) AS day", f"{months} AS month_name")
+    parts = parts.selectExpr("o_orderkey", "o_custkey", f"{_element_sql('o_orderkey')} AS e1",
+                             f"{_element_sql('o_orderkey + 5')} AS e2")
+    rounds = F.expr(
+        "CASE WHEN o_orderkey % 13 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey % 17 = 0 THEN '[]' "
+        f"ELSE concat('[', CASE WHEN o_orderkey % 19 = 0 THEN {_sql(ECHO_ELEMENT)} ELSE '' END, e1, ',', e2, ']') END"
     )
+    k = F.col("o_orderkey")
     return parts.join(customer, parts.o_custkey == customer.c_custkey, "inner").select(
         k.alias("row_ord"),
         F.col("c_name").alias("company_name"),

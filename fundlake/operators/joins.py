@@ -27,6 +27,7 @@ def checked_join(
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     hot_key_weight: int = HOT_KEY_WEIGHT,
     salt_buckets: int = SALT_BUCKETS,
+    upper_bound_rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small`` (at most one ``small`` row per key).
 
@@ -37,9 +38,14 @@ def checked_join(
     aggregate) exceeds ``hot_key_weight`` are salted: their ``big`` rows spread
     over ``salt_buckets`` tasks and their single ``small`` row is replicated.
     The set of hot keys is bounded by total weight / ``hot_key_weight`` and is
-    itself broadcast only after its size is checked.
+    itself broadcast only after its size is checked. ``upper_bound_rows``, a
+    proven bound on ``small``'s rows, skips the materialisation when it fits.
     """
     on = list(on)
+    if upper_bound_rows is not None and upper_bound_rows <= broadcast_max_rows:
+        # A proven bound (e.g. the row count of the table ``small`` was
+        # aggregated from) already fits: broadcast without materialising.
+        return big.join(F.broadcast(small), on, how)
     small = materialize(small)
     n_small = small.count()
     if n_small <= broadcast_max_rows:

@@ -250,8 +250,12 @@ def reconcile_funding(
     elements = exploded.where(F.col("kept") & F.col("bad").isNull()).select(
         key, "ord", "round_name", "date", "famt", "cur"
     )
+    bound = None
     if materialize_elements:
         elements = materialize(elements, "funding-elements")
+        # Phase A has at most one row per element: a proven broadcast bound.
+        bound = elements.count()
+        join_opts.setdefault("upper_bound_rows", bound)
     merged = merge_rounds(elements, key, **join_opts)
     lists = round_lists(merged, key)
 

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.functions import amounts, dates, rounds, variant
+from fundlake.functions import dates, variant
+from fundlake.functions import sql as S
 from fundlake.operators.joins import checked_join
 from fundlake.session import materialize, spread
 from fundlake.schemas import SCHEMA_ECHO_COLUMNS, UNKNOWN_ROUND
@@ -94,59 +95,40 @@ def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw:
         F.col(order_col).alias("row_ord"),
         F.posexplode(F.when(F.col("__status") == OK, F.col("__arr"))).alias("pos", "e"),
     )
-    e = F.col("e")
+    k = f"`{key}`"
     # One VARIANT -> struct cast decodes every field (NULL for a non-object).
-    ex = ex.select(F.col(key), "row_ord", "pos", e, F.try_variant_get(e, "$", ELEMENT_STRUCT).alias("f"))
-    ex = ex.select(
-        F.col(key), "row_ord", "pos", e,
-        F.col("f").isNotNull().alias("is_obj"),
-        F.col("f.type").alias("type_v"),
-        F.col("f.properties").alias("props_v"),
-        F.col("f.round_name").alias("rn_v"),
-        F.col("f.date").alias("date_v"),
-        F.col("f.amount").alias("amt_v"),
-        F.col("f.currency_symbol").alias("cur_v"),
+    ex = ex.selectExpr(k, "row_ord", "pos", "e", f"try_variant_get(e, '$', '{ELEMENT_STRUCT}') AS f")
+    ex = ex.selectExpr(
+        k, "row_ord", "pos", "e", "f IS NOT NULL AS is_obj", "f.type AS type_v", "f.properties AS props_v",
+        "f.round_name AS rn_v", "f.date AS date_v", "f.amount AS amt_v", "f.currency_symbol AS cur_v",
     )
-    ex = ex.select(
-        "*",
-        variant.vtype(F.col("type_v")).alias("type_t"),
-        variant.vtype(F.col("props_v")).alias("props_t"),
-        variant.vtype(F.col("rn_v")).alias("rn_t"),
-        variant.vtype(F.col("date_v")).alias("date_t"),
-        amounts.amount_kind(F.col("amt_v")).alias("amt_k"),
+    ex = ex.selectExpr(
+        "*", "schema_of_variant(type_v) AS type_t", "schema_of_variant(props_v) AS props_t",
+        "schema_of_variant(rn_v) AS rn_t", "schema_of_variant(date_v) AS date_t",
+        f"{S.amount_kind('schema_of_variant(amt_v)')} AS amt_k",
     )
-    is_obj = F.col("is_obj")
-    echo = variant.truthy(F.col("type_v"), F.col("type_t")) & variant.truthy(
-        F.col("props_v"), F.col("props_t")
-    )
-    rn_is_str = F.coalesce(F.col("rn_t") == "STRING", F.lit(False))
-    bad_name = F.col("rn_v").isNotNull() & ~rn_is_str & variant.truthy(F.col("rn_v"), F.col("rn_t"))
-    ex = ex.select(
-        F.col(key), "row_ord", "pos",
-        element_ord(F.col("row_ord"), F.col("pos")).alias("ord"),
-        (is_obj & ~echo).alias("kept"),
-        F.when(~is_obj, F.lit("element_not_object"))
-        .when(echo, F.lit(None))
-        .when(bad_name, F.lit("round_name_not_text"))
-        .when(amounts.amount_out_of_range(F.col("amt_v"), F.col("amt_k")), F.lit("amount_out_of_range"))
-        .alias("bad"),
-        F.when(rn_is_str, F.try_variant_get(F.col("rn_v"), "$", "string")).alias("rn_s"),
-        variant.scalar_text(F.col("rn_v")).alias("raw_name"),
-        F.col("amt_k"),
-        F.when(
-            F.col("date_v").isNotNull() & (F.col("date_t") != "VOID"),
-            variant.python_text(F.col("date_v"), F.col("date_t")),
-        ).alias("date_s"),
-        amounts.coerce_amount(F.col("amt_v"), F.col("amt_k")).alias("famt"),
-        variant.scalar_text(F.col("cur_v")).alias("cur"),
-        F.when(~is_obj | bad_name, F.to_json(e)).alias("element"),
-    )
-    ex = ex.withColumn(
-        "round_name",
-        F.when(F.col("rn_s").isNotNull(), rounds.fix_round_name(F.col("rn_s"))).otherwise(
-            F.lit(UNKNOWN_ROUND)
-        ),
+    echo = f"(({S.truthy('type_v', 'type_t')}) AND ({S.truthy('props_v', 'props_t')}))"
+    rn_is_str = "coalesce(rn_t = 'STRING', false)"
+    bad_name = f"(rn_v IS NOT NULL AND NOT {rn_is_str} AND ({S.truthy('rn_v', 'rn_t')}))"
+    ex = ex.selectExpr("*", f"{echo} AS echo", f"{bad_name} AS bad_name")
+    ex = ex.selectExpr(
+        k, "row_ord", "pos",
+        f"CAST(CAST(row_ord AS {ORD_TYPE}) * {_POS_SPAN} + pos AS {ORD_TYPE}) AS ord",
+        "is_obj AND NOT echo AS kept",
+        f"""CASE WHEN NOT is_obj THEN 'element_not_object' WHEN echo THEN NULL
+                 WHEN bad_name THEN 'round_name_not_text'
+                 WHEN {S.amount_out_of_range('amt_v', 'amt_k')} THEN 'amount_out_of_range' END AS bad""",
+        f"CASE WHEN {rn_is_str} THEN try_variant_get(rn_v, '$', 'string') END AS rn_s",
+        f"{S.scalar_text('rn_v', 'rn_t')} AS raw_name",
+        "amt_k",
+        f"CASE WHEN date_v IS NOT NULL AND date_t <> 'VOID' THEN {S.python_text('date_v', 'date_t')} END AS date_s",
+        f"{S.coerce_amount('amt_v', 'amt_k')} AS famt",
+        f"{S.scalar_text('cur_v', 'schema_of_variant(cur_v)')} AS cur",
+        f"""CASE WHEN NOT is_obj OR bad_name OR {S.amount_out_of_range('amt_v', 'amt_k')}
+                 THEN to_json(e) END AS element""",
     )
+    ex = ex.selectExpr(
+        "*", f"CASE WHEN rn_s IS NOT NULL THEN {S.fix_round_name('rn_s')} ELSE {S.lit(UNKNOWN_ROUND)} END AS round_name")
     out = dates.with_standardized_date(ex, "date_s", "date").drop("rn_s")
     if keep_raw:
         return out.withColumnRenamed("date_s", "raw_date")

@@ -78,6 +78,7 @@ def text_search(
     query_text: str = "text",
     doc_id: str = "doc_id",
     doc_text: str = "text",
+    topk_buckets: int = 64,
 ) -> tuple[DataFrame, DataFrame]:
     """O-26: for each query passage, the top ``k`` documents containing it,
     scored by occurrence count, ties by document id.
@@ -120,8 +121,17 @@ def text_search(
         .select("qid", "did", occurrences(F.col("dtext"), F.col("qtext")).alias("score"))
         .where(F.col("score") > 0)
     )
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("did"))
-    top = scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+    # Top-k in two levels so a passage found in a large share of all
+    # documents never sorts all its matches in one task: first per (passage,
+    # document bucket), then over at most buckets * k survivors per passage.
+    # Exact: every global top-k row is in the top k of its own bucket.
+    order = [F.col("score").desc(), F.col("did")]
+    bucket = F.pmod(F.xxhash64("did"), F.lit(topk_buckets))
+    local = (scored.withColumn("__b", bucket)
+             .withColumn("__r", F.row_number().over(Window.partitionBy("qid", "__b").orderBy(*order)))
+             .where(F.col("__r") <= k).drop("__b", "__r"))
+    w = Window.partitionBy("qid").orderBy(*order)
+    top = local.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
     return (
         top.select(
             F.col("qid").alias(query_id), F.col("did").alias(doc_id), "score", "rank"

@@ -45,7 +45,7 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
 
 def read_saved_pages(spark: SparkSession, path: str) -> DataFrame:
     """O-03: a saved page per file, read whole (url = file path)."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("url"), F.lit(200).alias("status"), F.col("value").alias("html"))
 
 

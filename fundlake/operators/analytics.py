@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fundlake.functions.amounts import to_millions
@@ -28,3 +28,20 @@ def amount_by_year(rounds: DataFrame, date_col: str = "date", amount_col: str =
         )
         .orderBy("year")
     )
+
+
+def observe_run(results: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
+    """O-63: run counters gathered while the results are written (no extra
+    pass): rows, true request count, successes, failures and tokens. Read
+    ``observation.get`` after the action."""
+    obs = Observation(name)
+    attempts = F.col("attempt") if "attempt" in results.columns else F.lit(1)
+    observed = results.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(attempts).alias("requests"),
+        F.count(F.when(F.col("error").isNull(), 1)).alias("successes"),
+        F.count(F.when(F.col("error").isNotNull(), 1)).alias("failures"),
+        F.sum("total_tokens").alias("tokens"),
+    )
+    return observed, obs

@@ -20,10 +20,15 @@ def stamp(df: DataFrame, run_ts: str | None = None) -> DataFrame:
     return df.withColumn("timestamp", F.lit(run_ts) if run_ts else run_timestamp())
 
 
-def write_stage_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """O-08: CSV with header, UTF-8, ``"``-doubling; nested columns as JSON."""
+def write_stage_csv(df: DataFrame, path: str, mode: str = "errorifexists",
+                    sort_by: str | None = None) -> None:
+    """O-08: CSV with header, UTF-8, ``"``-doubling; nested columns as JSON.
+    ``sort_by`` orders the written rows (O-35: reconciled companies come out
+    by ascending name); sorting happens only here, at the sink."""
     if not path:
         raise ValueError("Need to provide a filename to save")
+    if sort_by:
+        df = df.orderBy(sort_by)
     flat = df.select(*[
         F.to_json(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)

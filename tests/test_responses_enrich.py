@@ -66,3 +66,18 @@ def test_render_prompt(spark):
     df = spark.createDataFrame([("Acme", None)], "name string, year string")
     p = enrich.render_prompt("Company {name} ({year}) {{json}}", name=F.col("name"), year=F.col("year"))
     assert df.select(p.alias("p")).first().p == "Company Acme (None) {json}"
+
+
+def test_observe_run_counters(spark):
+    from fundlake.operators.analytics import observe_run
+
+    def ok(row):
+        if row["id"] == 1:
+            raise ValueError("no")
+        return "{}", 3
+
+    res = enrich.batched_map(spark.range(4).select("id"), ok, ["id"], keep_cols=["id"])
+    observed, obs = observe_run(res)
+    observed.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    assert (m["rows"], m["requests"], m["successes"], m["failures"], m["tokens"]) == (4, 4, 3, 1, 9)

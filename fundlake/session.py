@@ -83,14 +83,17 @@ def spread(df: DataFrame) -> DataFrame:
     alone, so no shuffle is added at scale.
     """
     spark = df.sparkSession
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Repartition" in plan.toString():  # already spread upstream
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if "Repartition" in plan.toString():  # already spread upstream
+            return df
+        slots = spark.sparkContext.defaultParallelism
+        # The optimizer's size estimate: planning only, nothing is executed
+        # (an RDD partition count would run the plan's stages under AQE).
+        estimate = int(str(plan.stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave as is
         return df
-    slots = spark.sparkContext.defaultParallelism
     split_bytes = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 * 1024 * 1024)
-    # The optimizer's size estimate: planning only, nothing is executed (an
-    # RDD partition count would run the plan's stages under AQE).
-    estimate = int(str(plan.stats().sizeInBytes()))
     if estimate < slots * split_bytes:
         return df.repartition(slots)
     return df
@@ -116,8 +119,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``fundlake`` importable on executors (needed by the operators that
     run Python per batch): zip the package into the shared folder once per
     application and register it with ``addPyFile``."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect): the package must be installed
+        return
     if app in _SHIPPED:
         return
     import zipfile

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fundlake-ckpt-"))
     else:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

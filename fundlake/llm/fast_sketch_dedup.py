@@ -48,6 +48,8 @@ from fundlake.session import materialize
 WORDS = 4
 SIZE, BANDS, ROWS = 128, 32, 4
 BLOCK = 512
+#: Places of the bitmap of document ids (4 MB).
+BITMAP = 1 << 25
 MASK56 = np.uint64((1 << 56) - 1)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Fixed odd multipliers of the word places in a shingle.
@@ -137,11 +139,33 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCHED)
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """id, key of the exact text and the sorted shingle hashes of each row."""
+def id_bitmap(ids: DataFrame, bits: int = BITMAP) -> np.ndarray:
+    """A bitmap of ``bits`` hashed places of ids, summed up in Spark.
+
+    Its size is fixed whatever the number of ids; a place is set for every id
+    and, by chance, for others.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    rows = ids.select(place.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")
+    )
+    out = np.zeros(bits // 64, np.int64)
+    for row in rows.toLocalIterator():
+        out[row["w"]] = row["b"]
+    return out.view(np.uint64)
+
+
+def document_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """id, key of the exact text and the sorted shingle hashes of the rows in a bitmap of ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
         for part in text_slices(batches, "text"):
+            place = part.column("place").to_numpy().astype(np.uint64)
+            part = part.filter(pa.array((bitmap[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)))
+            if not part.num_rows:
+                continue
             elements, offsets = shingle_sets(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id").cast(pa.int64()), text_keys(part.column("text")),
@@ -149,7 +173,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 names=["id", "text_key", "elements"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, text_key binary, elements array<bigint>")
+    rows = docs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(64 * len(wanted))).alias("place"))
+    return rows.mapInArrow(run, "id bigint, text_key binary, elements array<bigint>")
 
 
 def hub_pairs(classes: DataFrame) -> DataFrame:
@@ -212,10 +237,13 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = hub_pairs(classes.where("n_shingles > 0"))
     hubs = sizes.select(F.col("id").alias("hub"), F.col("n").alias("hub_size"))
     pairs = materialize(pairs.join(sizes, "id").join(hubs, "hub"), "hub_pairs")
-    wanted = pairs.select("id").union(pairs.select("hub")).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id", "text"])
-    own = classes.select("id", "text_key")
-    sets = materialize(document_sets(texts).join(own, ["id", "text_key"], "left_semi").drop("text_key"), "sets")
+    wanted = materialize(pairs.select("id").union(pairs.select("hub")).distinct(), "wanted")
+    # The sets of wanted documents: a bitmap of fixed size leaves most others
+    # out at the scan, so no text is shuffled; the join then is exact.
+    own = wanted.join(classes.select("id", "text_key"), "id")
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    sets = document_sets(texts, id_bitmap(wanted)).join(own, ["id", "text_key"], "left_semi")
+    sets = materialize(sets.dropDuplicates(["id", "text_key"]).drop("text_key"), "sets")
 
     hub_sets = sets.select(F.col("id").alias("hub"), F.col("elements").alias("hub_elements"))
     compared = (

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.llm import raking, spaced_seeds
+from fundlake.llm.context_tree import op1_context_tree
 from fundlake.llm.cross_polytope import op3_cross_polytope
 from fundlake.llm.fast_sketch_dedup import op4_fast_sketch_dedup
 from fundlake.llm.host_paths import op8_host_paths
@@ -18,6 +19,7 @@ from fundlake.llm.spaced_seeds import op6_spaced_seeds
 from fundlake.llm.token_store import op9_token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_context_tree": op1_context_tree,
     "op2_raking": op2_raking,
     "op3_cross_polytope": op3_cross_polytope,
     "op4_fast_sketch_dedup": op4_fast_sketch_dedup,

@@ -65,13 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint
     folder and reading it back (one job; an RDD checkpoint would compute the
     data twice). Survives executor loss, unlike a local checkpoint, and the
-    stored table is cheap to count."""
+    stored table is cheap to count. ``options`` go to the Parquet writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

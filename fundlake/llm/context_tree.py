@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import Tokens, crc_bucket, read_table, segment_sum, string_bytes, text_slices, unsliced
@@ -46,10 +46,11 @@ from fundlake.session import materialize
 DEPTH = 5
 STEM = 3
 MARK, END = 0x20, 0x0A
-SLICE = 24 << 20
+SLICE = 32 << 20
 PART = 6 << 20
 CHUNK = 200_000
 LOG10_2 = math.log10(2.0)
+WORD, GRAM = 0, 1
 
 
 # --- documents as word numbers, in blocks -----------------------------------
@@ -116,15 +117,21 @@ def document_blocks(docs: DataFrame) -> DataFrame:
             codes = np.insert(tokens.codes, tokens.offsets[1:], len(tokens.words))
             offsets = tokens.offsets + np.arange(n + 1)
             learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            counts = np.bincount(codes[np.repeat(learn, np.diff(offsets))], minlength=len(tokens.words) + 1)
+            # Frequent words get small numbers, which take little room.
+            order = np.argsort(-np.bincount(tokens.codes, minlength=len(tokens.words)), kind="stable")
+            number = np.empty(len(order) + 1, np.int64)
+            number[order], number[len(order)] = np.arange(len(order)), len(order)
+            codes, known = number[codes], tokens.words.take(pa.array(order))
+            del tokens
+            counts = np.bincount(codes[np.repeat(learn, np.diff(offsets))], minlength=len(known) + 1)
             kinds, times = [], []
-            for first, last, grams, numbers, ends in gram_parts(tokens.words, codes, offsets):
+            for first, last, grams, numbers, ends in gram_parts(known, codes, offsets):
                 taught = np.repeat(learn[first:last], np.diff(ends))
                 kinds.append(grams)
                 times.append(np.bincount(numbers[taught], minlength=len(grams)))
             grams, place = np.unique(np.concatenate(kinds), return_inverse=True)
             gram_counts = np.bincount(place, np.concatenate(times)).astype(np.int64)
-            words = pa.concat_arrays([tokens.words.cast(pa.string()), pa.array([chr(END)])])
+            words = pa.concat_arrays([known.cast(pa.string()), pa.array([chr(END)])])
             yield _rows(
                 [block] * n, part.column("doc_id").cast(pa.int64()), part.column("learn"),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(codes, pa.int32())),
@@ -157,7 +164,7 @@ SCORED = "item bigint, learn boolean, n_tokens bigint, n_known bigint, base_scor
 def score_blocks(blocks: DataFrame, values: DataFrame) -> DataFrame:
     """Sums over each document of its words' and bytes' values.
 
-    ``values`` has block, kind ('word' or 'gram'), code, value and known. A block's
+    ``values`` has block, kind, code (a word's number or a gram), value and known. A block's
     documents and its dictionaries' values meet in one task; a block is bounded.
     """
 
@@ -174,14 +181,14 @@ def score_blocks(blocks: DataFrame, values: DataFrame) -> DataFrame:
         lists = items.column("codes").combine_chunks()
         offsets = lists.offsets.to_numpy().astype(np.int64)
         offsets, codes = offsets - offsets[0], lists.flatten().to_numpy().astype(np.int64)
-        is_word = pc.equal(right.column("kind"), "word")
+        is_word = pc.equal(right.column("kind"), WORD)
         told = right.filter(is_word)
         base, known = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
         base[told.column("code").to_numpy()] = told.column("value").to_numpy()
         known[told.column("code").to_numpy()] = told.column("known").to_numpy(zero_copy_only=False)
         told = right.filter(pc.invert(is_word))
         value = np.zeros(len(grams))
-        value[told.column("code").to_numpy()] = told.column("value").to_numpy()
+        value[np.searchsorted(grams, told.column("code").to_numpy())] = told.column("value").to_numpy()
         score, size = np.zeros(items.num_rows), np.zeros(items.num_rows, np.int64)
         for first, last, kinds, numbers, ends in gram_parts(words, codes, offsets):
             score[first:last] = segment_sum(value[np.searchsorted(grams, kinds)][numbers], ends)
@@ -463,19 +470,28 @@ def score_documents(docs: DataFrame, learn: Column) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): learn, tokens, known tokens, train_tokens,
     base_score, score (log10) and bits_per_byte of the text's words and marks."""
     rows = docs.select("doc_id", "text", F.coalesce(learn, F.lit(True)).alias("learn"))
-    blocks = materialize(document_blocks(rows), "document_blocks")
-    words = dictionary(blocks, "words", "counts", "word")
-    grams = dictionary(blocks, "grams", "gram_counts", "gram")
-    word_counts = materialize(words.groupBy("word").agg(F.sum("count").alias("c")), "word_counts")
-    total, kinds = word_counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.expr("cast(c > 0 as int)")), F.lit(0))).first()
+    blocks = materialize(document_blocks(rows), "document_blocks", compression="zstd")
+    # A word stands once in a block's dictionary, so a window over it holds as
+    # many rows as there are blocks, and one shuffle serves counting and giving back.
+    of_word = Window.partitionBy("word")
+    counted = dictionary(blocks, "words", "counts", "word").select(
+        "block", "code", "count", F.sum("count").over(of_word).alias("c"),
+        (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"),
+    )
+    counted = materialize(counted, "word_counts")
+    total, kinds = counted.agg(
+        F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.sum(F.expr("cast(first and c > 0 as int)")), F.lit(0))
+    ).first()
     log_total = math.log10(int(total) + int(kinds) + 1)
+    grams = dictionary(blocks, "grams", "gram_counts", "gram")
     gram_counts = materialize(grams.groupBy("gram").agg(F.sum("count").alias("count")), "gram_counts")
     gram_values = materialize(gram_log10(gram_counts), "gram_values")
-    word_values = word_counts.select("word", (F.log10(F.col("c") + 1.0) - F.lit(log_total)).alias("value"), (F.col("c") > 0).alias("known"))
-    values = (
-        words.join(word_values, "word").select("block", F.lit("word").alias("kind"), "code", "value", "known")
-        .unionAll(grams.join(gram_values, "gram").select("block", F.lit("gram").alias("kind"), "code", "value", F.lit(True).alias("known")))
+    word_values = counted.select(
+        "block", F.lit(WORD).alias("kind"), F.col("code").cast("bigint").alias("code"),
+        (F.log10(F.col("c") + 1.0) - F.lit(log_total)).alias("value"), (F.col("c") > 0).alias("known"),
     )
+    back = grams.select("block", "gram").join(gram_values, "gram")
+    values = word_values.unionAll(back.select("block", F.lit(GRAM).alias("kind"), F.col("gram").alias("code"), "value", F.lit(True).alias("known")))
     return score_blocks(blocks, values).select(
         F.col("item").alias("doc_id"), "learn", "n_tokens", "n_known", F.lit(int(total)).cast("bigint").alias("train_tokens"),
         "base_score", "score", (-F.col("score") / F.lit(LOG10_2) / F.col("n_bytes")).alias("bits_per_byte"),

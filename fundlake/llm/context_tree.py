@@ -47,10 +47,12 @@ DEPTH = 5
 STEM = 3
 MARK, END = 0x20, 0x0A
 SLICE = 32 << 20
-PART = 6 << 20
+PART = 2 << 20
 CHUNK = 200_000
 LOG10_2 = math.log10(2.0)
 WORD, GRAM = 0, 1
+#: Values of bytes travel as whole multiples of 1 / UNIT.
+UNIT = 10_000_000
 
 
 # --- documents as word numbers, in blocks -----------------------------------
@@ -161,10 +163,11 @@ def dictionary(blocks: DataFrame, units: str, counts: str, name: str) -> DataFra
 SCORED = "item bigint, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint"
 
 
-def score_blocks(blocks: DataFrame, values: DataFrame) -> DataFrame:
+def score_blocks(blocks: DataFrame, values: DataFrame, log_total: float) -> DataFrame:
     """Sums over each document of its words' and bytes' values.
 
-    ``values`` has block, kind, code (a word's number or a gram), value and known. A block's
+    ``values`` has block, kind, code (a word's number or a gram) and amount (a
+    word's training count, a gram's log10 probability in units). A block's
     documents and its dictionaries' values meet in one task; a block is bounded.
     """
 
@@ -184,11 +187,12 @@ def score_blocks(blocks: DataFrame, values: DataFrame) -> DataFrame:
         is_word = pc.equal(right.column("kind"), WORD)
         told = right.filter(is_word)
         base, known = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
-        base[told.column("code").to_numpy()] = told.column("value").to_numpy()
-        known[told.column("code").to_numpy()] = told.column("known").to_numpy(zero_copy_only=False)
+        count = told.column("amount").to_numpy()
+        base[told.column("code").to_numpy()] = np.log10(count + 1.0) - log_total
+        known[told.column("code").to_numpy()] = count > 0
         told = right.filter(pc.invert(is_word))
         value = np.zeros(len(grams))
-        value[np.searchsorted(grams, told.column("code").to_numpy())] = told.column("value").to_numpy()
+        value[np.searchsorted(grams, told.column("code").to_numpy())] = told.column("amount").to_numpy() / UNIT
         score, size = np.zeros(items.num_rows), np.zeros(items.num_rows, np.int64)
         for first, last, kinds, numbers, ends in gram_parts(words, codes, offsets):
             score[first:last] = segment_sum(value[np.searchsorted(grams, kinds)][numbers], ends)
@@ -486,13 +490,13 @@ def score_documents(docs: DataFrame, learn: Column) -> DataFrame:
     grams = dictionary(blocks, "grams", "gram_counts", "gram")
     gram_counts = materialize(grams.groupBy("gram").agg(F.sum("count").alias("count")), "gram_counts")
     gram_values = materialize(gram_log10(gram_counts), "gram_values")
-    word_values = counted.select(
-        "block", F.lit(WORD).alias("kind"), F.col("code").cast("bigint").alias("code"),
-        (F.log10(F.col("c") + 1.0) - F.lit(log_total)).alias("value"), (F.col("c") > 0).alias("known"),
+    word_amounts = counted.select(
+        "block", F.lit(WORD).alias("kind"), F.col("code").cast("bigint").alias("code"), F.col("c").alias("amount")
     )
-    back = grams.select("block", "gram").join(gram_values, "gram")
-    values = word_values.unionAll(back.select("block", F.lit(GRAM).alias("kind"), F.col("gram").alias("code"), "value", F.lit(True).alias("known")))
-    return score_blocks(blocks, values).select(
+    units = F.round(F.col("value") * UNIT).cast("bigint").alias("amount")
+    gram_amounts = grams.select("block", "gram").join(gram_values.select("gram", units), "gram")
+    amounts = word_amounts.unionAll(gram_amounts.select("block", F.lit(GRAM).alias("kind"), F.col("gram").alias("code"), "amount"))
+    return score_blocks(blocks, amounts, log_total).select(
         F.col("item").alias("doc_id"), "learn", "n_tokens", "n_known", F.lit(int(total)).cast("bigint").alias("train_tokens"),
         "base_score", "score", (-F.col("score") / F.lit(LOG10_2) / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -2,7 +2,7 @@
 
 The model / agent client is outside the engine: a user function takes one
 row (a dict) and returns ``(json_text, total_tokens)`` or raises. Spark runs
-it over Arrow batches with ``mapInPandas``; failures come back as values in
+it over Arrow batches with ``mapInArrow``; failures come back as values in
 an ``error`` column instead of failing the task.
 """
 
@@ -11,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from fundlake.schemas import RATE_LIMIT_MARKER
-from fundlake.session import ship_package
+from fundlake.session import materialize, ship_package
 
 RowFn = Callable[[dict], tuple[str, int]]
-RESULT_SCHEMA = "value string, error string, total_tokens bigint"
+RESULT_SCHEMA = StructType([
+    StructField("value", StringType()), StructField("error", StringType()), StructField("total_tokens", LongType()),
+])
 
 
 def _call(fn: RowFn, row: dict) -> tuple[str | None, str | None, int]:
@@ -38,30 +41,33 @@ def batched_map(
     concurrency: int = 1,
 ) -> DataFrame:
     """O-27: apply ``fn`` to every row; output ``keep_cols`` + value, error,
-    total_tokens. ``concurrency`` > 1 overlaps calls inside a batch (for a
-    remote client); there is no barrier between batches, and the batch size
-    is ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
-    cols = list(dict.fromkeys([*keep_cols, *input_cols]))
-    keep_types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep_cols)
-    schema = f"{keep_types}, {RESULT_SCHEMA}" if keep_types else RESULT_SCHEMA
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total_tokens. Kept columns pass through as Arrow arrays untouched, and the
+    function gets Python values (None for NULL, exact integers).
+    ``concurrency`` > 1 overlaps calls inside a batch (for a remote client);
+    there is no barrier between batches, and the batch size is
+    ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
+    inputs, kept = list(input_cols), list(dict.fromkeys(keep_cols))
+    cols = list(dict.fromkeys([*kept, *inputs]))
+    schema = StructType([*[df.schema[c] for c in kept], *RESULT_SCHEMA.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
             for batch in batches:
-                rows = batch[list(input_cols)].to_dict("records")
+                rows = batch.select(inputs).to_pylist()
                 results = list(pool.map(lambda r: _call(fn, r), rows)) if pool else [_call(fn, r) for r in rows]
-                out = batch[list(keep_cols)].reset_index(drop=True).copy()
-                out["value"] = [r[0] for r in results]
-                out["error"] = [r[1] for r in results]
-                out["total_tokens"] = pd.array([r[2] for r in results], dtype="int64")
-                yield out
+                values, errors, tokens = zip(*results) if results else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in kept], pa.array(values, pa.string()),
+                     pa.array(errors, pa.string()), pa.array(tokens, pa.int64())],
+                    names=[*kept, "value", "error", "total_tokens"],
+                )
         finally:
             if pool:
                 pool.shutdown()
 
     ship_package(df.sparkSession)
-    return df.select(*cols).mapInPandas(run, schema)
+    return df.select(*cols).mapInArrow(run, schema)
 
 
 def successes(results: DataFrame) -> DataFrame:
@@ -79,14 +85,24 @@ def with_retry(
 ) -> DataFrame:
     """O-30 + O-37: run once; rows whose error mentions ``marker`` run once
     more; the final outcome of every row, with an ``attempt`` column (the
-    retried rows are appended after the first pass, bag union)."""
-    first = batched_map(df.withColumn("attempt", F.lit(1)), fn, [*input_cols, "attempt"],
-                        [*keep_cols, "attempt"], concurrency)
-    retry_keys = first.where(F.col("error").contains(marker)).select(*keep_cols)
-    retried_input = df.join(retry_keys, list(keep_cols), "left_semi").withColumn("attempt", F.lit(2))
-    second = batched_map(retried_input, fn, [*input_cols, "attempt"], [*keep_cols, "attempt"], concurrency)
-    kept = first.where(~F.coalesce(F.col("error").contains(marker), F.lit(False)))
-    return kept.unionByName(second)
+    retried rows are appended after the first pass, bag union).
+
+    Each pass is written once to the shared folder with its input columns, so
+    every row is called once per pass whatever reads the result, and the second
+    pass takes the written failures: no key is needed, and repeated or NULL keys
+    are rows like any other."""
+    carried = list(dict.fromkeys([*keep_cols, *input_cols]))
+    inputs = [*input_cols, "attempt"]
+
+    def one_pass(rows: DataFrame, attempt: int) -> DataFrame:
+        rows = rows.select(*carried).withColumn("attempt", F.lit(attempt))
+        return materialize(batched_map(rows, fn, inputs, [*carried, "attempt"], concurrency), f"replies{attempt}")
+
+    first = one_pass(df, 1)
+    limited = F.coalesce(F.col("error").contains(marker), F.lit(False))
+    second = one_pass(first.where(limited), 2)
+    wanted = [*keep_cols, "attempt", "value", "error", "total_tokens"]
+    return first.where(~limited).select(*wanted).unionByName(second.select(*wanted))
 
 
 def render_prompt(template: str, **cols: Column) -> Column:

@@ -79,7 +79,7 @@ def text_search(
     doc_id: str = "doc_id",
     doc_text: str = "text",
     topk_buckets: int = 64,
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """O-26: for each query passage, the top ``k`` documents containing it,
     scored by occurrence count, ties by document id.
 
@@ -88,8 +88,11 @@ def text_search(
     both sides inside the passage) as a whole token. Each passage is anchored
     on its interior token found in the fewest documents; candidates come from
     an equi-join on that token, and the real substring count confirms them.
-    Passages with no interior token cannot be anchored and are returned in
-    the second frame instead of being dropped silently.
+    A passage without an interior token (one or two words) is anchored on the
+    document tokens that contain its longest token: its rarest character
+    n-gram finds them in the vocabulary. A passage without any token (marks
+    only) is compared with every document, as a stated query set; an empty or
+    NULL passage has no answer.
     """
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_text).alias("qtext"))
     q = q.withColumn("__toks", F.split("qtext", TOKEN_SPLIT))
@@ -97,24 +100,33 @@ def text_search(
         "__interior",
         F.filter(F.slice("__toks", 2, F.greatest(F.size("__toks") - 2, F.lit(0))), lambda t: t != ""),
     )
-    unanchored = q.where(F.size("__interior") == 0).select("qid", "qtext")
+    q = q.where(F.length("qtext") > 0)
+    short = q.where(F.size("__interior") == 0).withColumn(
+        "piece", F.array_max(F.transform(F.filter("__toks", lambda t: t != ""), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+    )
     q_tokens = q.select("qid", F.explode("__interior").alias("token")).distinct()
+    all_tokens = documents.select(F.col(doc_id).alias("did"), F.explode(F.split(F.col(doc_text), TOKEN_SPLIT)).alias("token"))
+    short_tokens = tokens_containing(short.where(F.col("piece").isNotNull()).select("qid", "piece"), all_tokens.select("token").distinct())
 
     # Document tokens, restricted to tokens some query uses (the query side
     # is the small side; Spark picks the join strategy from its size).
-    wanted = q_tokens.select("token").distinct()
-    d_tokens = (
-        documents.select(F.col(doc_id).alias("did"), F.explode(F.split(F.col(doc_text), TOKEN_SPLIT)).alias("token"))
-        .join(wanted, "token", "left_semi")
-        .distinct()
-    )
+    wanted = q_tokens.select("token").union(short_tokens.select("token")).distinct()
+    d_tokens = all_tokens.join(wanted, "token", "left_semi").distinct()
     doc_freq = d_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     anchors = (
         q_tokens.join(doc_freq, "token")
         .groupBy("qid")
         .agg(F.min_by("token", F.struct("df", "token")).alias("token"))
     )
-    candidates = anchors.join(d_tokens, "token").select("qid", "did")
+    candidates = (
+        anchors.join(d_tokens, "token").select("qid", "did")
+        .union(short_tokens.join(d_tokens, "token").select("qid", "did").distinct())
+        .union(
+            documents.select(F.col(doc_id).alias("did"), F.col(doc_text).alias("dtext"))
+            .join(short.where(F.col("piece").isNull()).select("qid", "qtext"), F.col("dtext").contains(F.col("qtext")))
+            .select("qid", "did")
+        )
+    )
     scored = (
         candidates.join(q.select("qid", "qtext"), "qid")
         .join(documents.select(F.col(doc_id).alias("did"), F.col(doc_text).alias("dtext")), "did")
@@ -132,9 +144,22 @@ def text_search(
              .where(F.col("__r") <= k).drop("__b", "__r"))
     w = Window.partitionBy("qid").orderBy(*order)
     top = local.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
-    return (
-        top.select(
-            F.col("qid").alias(query_id), F.col("did").alias(doc_id), "score", "rank"
-        ),
-        unanchored,
-    )
+    return top.select(F.col("qid").alias(query_id), F.col("did").alias(doc_id), "score", "rank")
+
+
+def tokens_containing(pieces: DataFrame, vocabulary: DataFrame, n: int = 3) -> DataFrame:
+    """(qid, token): the tokens of ``vocabulary`` that contain each ``(qid, piece)``.
+
+    Joined on the piece's n-gram that the fewest tokens hold (the whole piece,
+    if shorter), then confirmed."""
+    def grams(text: str, size: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(F.col(text), i, size))
+
+    own = pieces.withColumn("size", F.least(F.lit(n), F.length("piece")))
+    own = own.select("qid", "piece", F.explode(F.array_distinct(grams("piece", F.col("size")))).alias("gram"))
+    of_size = [F.when(F.length("token") >= k, grams("token", F.lit(k))).otherwise(F.array().cast("array<string>")) for k in range(1, n + 1)]
+    held = vocabulary.where("token <> ''").select("token", F.explode(F.array_distinct(F.concat(*of_size))).alias("gram"))
+    held = held.join(own.select("gram").distinct(), "gram", "left_semi")
+    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = own.join(counts, "gram").groupBy("qid", "piece").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    return rarest.join(held, "gram").where(F.col("token").contains(F.col("piece"))).select("qid", "token")

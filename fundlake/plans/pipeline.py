@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fundlake.functions import variant
 from fundlake.operators import enrich, html_extract as H, lookup, reconcile, responses
 from fundlake.schemas import COMPANY_FIELDS
+from fundlake.session import materialize
 from fundlake.sinks.stages import run_timestamp
 
 
@@ -50,22 +51,31 @@ def extract_companies(articles: DataFrame, extractor: enrich.RowFn, agent_envelo
     res = enrich.with_retry(articles, extractor, ["title", "author", "publication_date", "content", "url"],
                             keep_cols=["url"], concurrency=concurrency)
     ok = enrich.successes(res)
-    obj = responses.unwrap_envelope(F.col("value")) if agent_envelope else F.try_parse_json("value")
-    decoded = ok.select("url", obj.alias("__obj"))
+    if agent_envelope:  # the agent's text: repaired and classified, then unwrapped
+        replies = responses.with_classified_response(ok, "value")
+        decoded = replies.select("url", "value", F.col("obj").alias("__obj"))
+    else:
+        decoded = ok.select("url", "value", F.try_parse_json("value").alias("__obj"))
+    usable = F.coalesce(F.schema_of_variant("__obj").startswith("OBJECT"), F.lit(False))
     fields = [variant.scalar_text(variant.field(F.col("__obj"), name)).alias(name) for name, _ in COMPANY_FIELDS]
-    companies = decoded.where(F.col("__obj").isNotNull()).select("url", *fields)
+    companies = decoded.where(usable).select("url", *fields)
     for name, types in COMPANY_FIELDS:
         if "boolean" in types:
             companies = companies.withColumn(name, F.col(name).try_cast("boolean"))
+    # O-60: the row number is fixed by writing the rows once; with it equal
+    # urls and names are still different rows.
+    companies = materialize(companies.withColumn("row_ord", F.monotonically_increasing_id()), "companies")
     companies = companies.withColumns({
         "timestamp": run_timestamp(),
-        # O-60: a stable id (a random uuid would change on recomputation).
-        "uuid": F.sha2(F.concat_ws("\u0001", F.col("url"), F.col("company_name")), 256),
-        "row_ord": F.monotonically_increasing_id(),
+        "uuid": F.sha2(F.concat_ws("\u0001", F.col("url"), F.col("company_name"), F.col("row_ord").cast("string")), 256),
     })
     if agent_envelope:
         companies = responses.drop_schema_echo_names(companies)
-    return companies, res.where(F.col("error").isNotNull())
+    failed = res.where(F.col("error").isNotNull()).select("url", "error")
+    unreadable = decoded.where(~usable).select(
+        "url", F.concat(F.lit("unparseable reply: "), F.coalesce(F.substring("value", 1, 200), F.lit("none"))).alias("error")
+    )
+    return companies, failed.unionByName(unreadable)
 
 
 def add_funding(companies: DataFrame, extractor: enrich.RowFn, concurrency: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -76,13 +86,16 @@ def add_funding(companies: DataFrame, extractor: enrich.RowFn, concurrency: int
                                                                         if c != "row_ord"]))
     res = enrich.with_retry(payload, extractor, ["company_json", "uuid"], keep_cols=["uuid"],
                             concurrency=concurrency)
-    ok = enrich.successes(res).select(
-        "uuid",
-        F.to_json(variant.field(F.try_parse_json("value"), "funding_rounds")).alias("value"),
-        F.col("attempt").alias("result_ord"),
+    replies = enrich.successes(res).select(
+        "uuid", "attempt", "value", variant.field(F.try_parse_json("value"), "funding_rounds").alias("rounds")
+    )
+    # A reply without the field changes nothing and is rejected with its text.
+    ok = replies.where(F.col("rounds").isNotNull()).select("uuid", F.to_json("rounds").alias("value"), F.col("attempt").alias("result_ord"))
+    unreadable = replies.where(F.col("rounds").isNull()).select(
+        "uuid", F.concat(F.lit("unparseable reply: "), F.coalesce(F.substring("value", 1, 200), F.lit("none"))).alias("error")
     )
-    enriched = lookup.update_join(companies, ok, "uuid", "value", "result_ord", "funding_rounds")
-    return enriched, res.where(F.col("error").isNotNull())
+    enriched = materialize(lookup.update_join(companies, ok, "uuid", "value", "result_ord", "funding_rounds"), "enriched")
+    return enriched, res.where(F.col("error").isNotNull()).select("uuid", "error").unionByName(unreadable)
 
 
 def run(listing_pages: DataFrame, article_pages: DataFrame, company_extractor: enrich.RowFn,

@@ -50,7 +50,7 @@ def q_amount_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = R.spread(funding_raw(spark, sf_dir).where(F.col("company_name").isNotNull()))
+    raw = funding_raw(spark, sf_dir).where(F.col("company_name").isNotNull())
     ex = R.explode_elements(R.classify_rows(raw), "company_name", "row_ord", keep_raw=True)
     return ex.where(F.col("kept") & F.col("bad").isNull())
 
@@ -159,9 +159,20 @@ def q_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.operators.lookup import text_search
     from fundlake.plans.views import table
 
-    docs = R.spread(table(spark, sf_dir, "documents"))
-    top, _unanchored = text_search(table(spark, sf_dir, "benchmark"), docs, k=3)
-    return top
+    docs = table(spark, sf_dir, "documents")
+    return text_search(table(spark, sf_dir, "benchmark"), docs, k=3)
+
+
+def q_short_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-26 for names: the top 3 documents containing the first two words and
+    the third word of each benchmark passage."""
+    from fundlake.operators.lookup import text_search
+    from fundlake.plans.views import table
+
+    items = table(spark, sf_dir, "benchmark")
+    two = items.selectExpr("item_id", "split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS text")
+    one = items.selectExpr("item_id + 1000000 AS item_id", "split_part(text, ' ', 3) AS text")
+    return text_search(two.unionAll(one), table(spark, sf_dir, "documents"), k=3)
 
 
 # --------------------------------------------------------------------------
@@ -174,7 +185,7 @@ def q_listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.plans.views import table
 
     pages = H.successful_pages(table(spark, sf_dir, "pages"))
-    cards = H.ok_rows(H.extract_listings(R.spread(pages), H.DRIVER_LISTING, keys=("page_id",)))
+    cards = H.ok_rows(H.extract_listings(pages, H.DRIVER_LISTING, keys=("page_id",)))
     return cards.select("page_id", F.col("url_found").alias("href"), "title")
 
 
@@ -184,7 +195,7 @@ def q_article_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.plans.views import table
 
     pages = table(spark, sf_dir, "pages")
-    arts = H.ok_rows(H.extract_articles(R.spread(pages), H.DRIVER_ARTICLE, keys=("page_id", "url")))
+    arts = H.ok_rows(H.extract_articles(pages, H.DRIVER_ARTICLE, keys=("page_id", "url")))
     return arts.select("page_id", "url", "title")
 
 
@@ -195,7 +206,7 @@ def q_index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.plans.views import table
 
     pages = table(spark, sf_dir, "pages")
-    cards = H.ok_rows(H.extract_listings(R.spread(pages), H.DRIVER_LISTING, keys=("page_id", "url")))
+    cards = H.ok_rows(H.extract_listings(pages, H.DRIVER_LISTING, keys=("page_id", "url")))
     fetched = H.index_to_articles(cards.select("url"), pages.select("url", "page_id"))
     return fetched.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("n_index_rows"))
 
@@ -230,7 +241,7 @@ def q_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     validate every landed response against a {k: integer} schema."""
     from fundlake.operators import responses as RS
 
-    df = RS.with_classified_response(R.spread(responses_view(spark, sf_dir)), "raw")
+    df = RS.with_classified_response(responses_view(spark, sf_dir), "raw")
     obj = F.col("obj")
     missing, extra, bad_types = RS.validate_object(obj, ["k"], ["k"], {"k": ["integer"]})
     return df.select(
@@ -262,7 +273,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.operators.enrich import with_retry
     from fundlake.plans.views import table
 
-    conv = R.spread(table(spark, sf_dir, "conversations"))
+    conv = table(spark, sf_dir, "conversations")
     return with_retry(conv, stub_extractor, ["conv_id", "role", "text"], keep_cols=["conv_id", "turn"])
 
 
@@ -288,19 +299,14 @@ def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_first_step_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-62: tokens of the first intermediate step of each conversation's
     log (steps = pairs of turns; tokens of a message = its length)."""
-    from fundlake.operators.responses import first_step_tokens
     from fundlake.plans.views import table
 
     conv = table(spark, sf_dir, "conversations")
     msgs = conv.select("conv_id", (F.col("turn") / 2).cast("bigint").alias("step"), "turn",
                        F.length("text").cast("bigint").alias("total_tokens"))
-    steps = msgs.groupBy("conv_id", "step").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", "total_tokens"))),
-                    lambda m: F.struct(m["total_tokens"].alias("total_tokens"))).alias("message_log"))
-    per_conv = steps.groupBy("conv_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("step", "message_log"))),
-                    lambda s: F.struct(s["message_log"].alias("message_log"))).alias("steps"))
-    return per_conv.select("conv_id", first_step_tokens(F.col("steps")).alias("first_step_tokens"))
+    # Partial sums per step, then the first step: no conversation is gathered.
+    steps = msgs.groupBy("conv_id", "step").agg(F.coalesce(F.sum("total_tokens"), F.lit(0)).alias("tokens"))
+    return steps.groupBy("conv_id").agg(F.min_by("tokens", "step").alias("first_step_tokens"))
 
 
 # --------------------------------------------------------------------------
@@ -346,6 +352,7 @@ QUERIES.update({
     "o24_update_join": q_update_join,
     "o25_org_lookup": q_org_lookup,
     "o26_text_search": q_text_search,
+    "o26_short_search": q_short_search,
     "o10_listing_links": q_listing_links,
     "o13_article_fields": q_article_fields,
     "o15_index_join": q_index_join,

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Small files are split for all cores (the same plan at every size).
+    "spark.sql.files.openCostInBytes": "262144",
     # Fall back to per-expression codegen for a stage whose fused method is
     # too large for the JIT (the JVM does not compile methods over 8000 bytes
     # of bytecode and would interpret them).
@@ -75,44 +77,6 @@ def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a CPU-heavy stage over all cores when its input is too coarse.
-
-    A small table can arrive as one file split, which would put every row's
-    parsing in one task. Only then (fewer partitions than task slots) is the
-    input repartitioned; a large input already has many splits and is left
-    alone, so no shuffle is added at scale.
-    """
-    spark = df.sparkSession
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        if "Repartition" in plan.toString():  # already spread upstream
-            return df
-        slots = spark.sparkContext.defaultParallelism
-        # The optimizer's size estimate: planning only, nothing is executed
-        # (an RDD partition count would run the plan's stages under AQE).
-        estimate = int(str(plan.stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave as is
-        return df
-    split_bytes = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 * 1024 * 1024)
-    if estimate < slots * split_bytes:
-        return df.repartition(slots)
-    return df
-
-
-def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
-    raw = spark.conf.get(key, None)
-    if raw is None:
-        return default
-    raw = raw.strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
-        if raw.endswith(suffix):
-            num = raw[: -len(suffix)]
-            return int(float(num) * units.get(suffix[0], 1)) if suffix != "b" else int(num)
-    return int(raw)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -81,3 +81,30 @@ def test_observe_run_counters(spark):
     observed.write.format("noop").mode("overwrite").save()
     m = obs.get
     assert (m["rows"], m["requests"], m["successes"], m["failures"], m["tokens"]) == (4, 4, 3, 1, 9)
+
+
+def test_retry_calls_every_row_once_per_pass(spark, tmp_path):
+    """Repeated and NULL keys, 64-bit keys beside NULLs, and a failing client whose
+    answers differ from call to call: rows in = rows out, calls = rows + retries."""
+    calls = str(tmp_path)
+
+    def client(row):
+        import os
+        import random
+
+        with open(f"{calls}/{os.getpid()}", "a") as out:
+            out.write("x\n")
+        if random.random() < 0.5:
+            raise RuntimeError("rate_limit_exceeded")
+        return str(row["id"]), 1
+
+    big = (1 << 60) + 1
+    ids = [big, None, big, None, 7] * 40
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(4)
+    out = enrich.with_retry(df, client, ["id"], keep_cols=["id"])
+    rows = out.collect()
+    assert sorted((r.id is None, r.id or 0) for r in rows) == sorted((i is None, i or 0) for i in ids)
+    assert out.count() == len(ids)  # read again: no further call
+    made = sum(p.read_text().count("x") for p in tmp_path.iterdir())
+    assert made == sum(r.attempt for r in rows)
+    assert all(r.value == str(r.id) for r in rows if r.error is None)

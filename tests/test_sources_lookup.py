@@ -87,6 +87,18 @@ def test_text_search_exact(spark):
         [(1, "x the quick brown fox y the quick brown fox"), (2, "the quick brown"), (3, "quick brown fox")],
         "doc_id long, text string")
     qs = spark.createDataFrame([(10, "the quick brown fox"), (11, "fox")], "item_id long, text string")
-    top, unanchored = lookup.text_search(qs, docs, k=3)
-    assert [(r.item_id, r.doc_id, r.score, r.rank) for r in top.orderBy("item_id", "rank").collect()] == [(10, 1, 2, 1)]
-    assert [r.qid for r in unanchored.collect()] == [11]
+    top = lookup.text_search(qs, docs, k=3)
+    got = [(r.item_id, r.doc_id, r.score, r.rank) for r in top.orderBy("item_id", "rank").collect()]
+    assert got == [(10, 1, 2, 1), (11, 1, 2, 1), (11, 3, 1, 2)]
+
+
+def test_text_search_short_passages(spark):
+    docs = spark.createDataFrame(
+        [(1, "Big acme solar farm; acme!"), (2, "acmesolar"), (3, "the acme solarium"), (4, "a -- b"), (5, None)],
+        "doc_id long, text string")
+    asked = [(1, "acme"), (2, "acme solar"), (3, "me s"), (4, "a"), (5, "--"), (6, ""), (7, None), (8, "zzz")]
+    top = lookup.text_search(spark.createDataFrame(asked, "item_id long, text string"), docs, k=10)
+    got = {(r.item_id, r.doc_id, r.score) for r in top.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = {(q, d, t.count(p)) for q, p in asked if p for d, t in texts.items() if t and p in t}
+    assert got == want

@@ -3,7 +3,8 @@ slicing, dictionary-encoded tokens and 64-bit mixing on numpy arrays."""
 
 from __future__ import annotations
 
-import re
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,7 +131,3 @@ def has_letter(texts: pa.Array) -> np.ndarray:
     """True where a text holds a Unicode letter (false for null)."""
     found = pc.match_substring_regex(texts.cast(pa.large_string()), _LETTER)
     return pc.fill_null(found, False).to_numpy(zero_copy_only=False)
-
-
-def safe_name(name: str) -> str:
-    return re.sub(r"\W", "_", name)

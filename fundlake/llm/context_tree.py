@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import Tokens, crc_bucket, read_table, segment_sum, string_bytes, text_slices, unsliced
+from fundlake.llm.common import Tokens, crc_bucket, read_table, release_memory, segment_sum, string_bytes, text_slices, unsliced
 from fundlake.session import materialize
 
 DEPTH = 5
@@ -197,6 +197,7 @@ def score_blocks(blocks: DataFrame, values: DataFrame, log_total: float) -> Data
         for first, last, kinds, numbers, ends in gram_parts(words, codes, offsets):
             score[first:last] = segment_sum(value[np.searchsorted(grams, kinds)][numbers], ends)
             size[first:last] = np.diff(ends)
+        release_memory()
         return pa.table({
             "item": items.column("item"), "learn": items.column("learn"), "n_tokens": pa.array(np.diff(offsets)),
             "n_known": pa.array(np.rint(segment_sum(known[codes], offsets)).astype(np.int64)),

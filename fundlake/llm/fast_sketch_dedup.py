@@ -334,6 +334,17 @@ def op4_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group; repeated rows of it are kept once."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Keep one document of each group; repeated rows of an id are kept once.
+
+    Rows without an id belong to no group and stay. The few ids that go are
+    the joined side, so Spark broadcasts them when they are small.
+    """
+    state = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    gone = materialize(state.where("not kept").select("doc_id"), "gone")
+    repeated = materialize(
+        docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").join(gone, "doc_id", "left_anti").select("doc_id"),
+        "repeated",
+    )
+    once = docs.join(gone.unionAll(repeated), "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return once.unionByName(again)

@@ -38,7 +38,7 @@ SAMPLE_CHARS = 20_000
 COST = 1.0
 EPOCHS = 30
 FOLDS = 4
-SLICE = 16 << 20
+SLICE = 8 << 20
 THRESHOLD = 0.7
 
 _PIECES = re.compile(r"[^\W\d_]+|\d+|[\W_]+")

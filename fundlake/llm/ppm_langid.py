@@ -39,8 +39,8 @@ from fundlake.llm.common import Tokens, crc_bucket, has_letter, read_table, segm
 ORDER = 4
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 250_000
-CHUNK = 100_000
-SLICE = 24 << 20
+CHUNK = 50_000
+SLICE = 8 << 20
 UNDETERMINED = "und"
 END = 0x20
 

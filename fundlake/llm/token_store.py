@@ -40,7 +40,7 @@ from fundlake.session import scratch_path
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 #: Letters with one code point that normalisation leaves alone, then ASCII marks
 #: other than the apostrophe: the tokenizer splits between the two.

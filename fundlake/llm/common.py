@@ -51,8 +51,25 @@ def text_slices(
     """Cut batches into row slices whose texts hold about ``max_bytes`` bytes.
 
     Memory per slice is bounded by ``max_bytes`` plus one row; a single very
-    long text is its own slice and is never cut.
+    long text is its own slice and is never cut. At the end of a task freed
+    memory goes back to the system, since Python workers are reused.
     """
+    try:
+        yield from _slices(batches, column, max_bytes)
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give the allocators' unused memory back to the operating system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

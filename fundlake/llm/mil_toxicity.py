@@ -62,7 +62,7 @@ class Sentences:
         lined = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " \x1e ")
         tokens = Tokens(lined)
         digest = xxhash.xxh3_64_intdigest
-        own, size, stop = [], [], []
+        own, size, stop, line = [], [], [], []
         for word in tokens.words.to_pylist():
             runs = _LETTERS.findall(word.lower())
             before = len(own)
@@ -70,8 +70,9 @@ class Sentences:
                 own.append(digest(r))
                 own.extend(digest(r[:k] + "-") for k in STEMS if len(r) > k)
             size.append(len(own) - before)
-            stop.append(word == "\x1e" or word[-1] in ".!?")
-        size, stop = np.array(size, np.int64), np.array(stop, bool)
+            line.append(word == "\x1e")
+            stop.append(line[-1] or word[-1] in ".!?")
+        size, stop, line_end = np.array(size, np.int64), np.array(stop, bool), np.array(line, bool)
         hashed = mix64(np.array(own, np.uint64)) >> np.uint64(64 - bits) if own else np.zeros(0, np.uint64)
         if known is not None:  # features without a weight are dropped before they are spread out
             told = known[hashed.astype(np.int64)]
@@ -80,8 +81,9 @@ class Sentences:
         codes, n = tokens.codes, len(tokens.offsets) - 1
         # A sentence begins with a text and behind a word that ends one.
         begins = np.zeros(len(codes) + 1, bool)
-        begins[tokens.offsets] = True
         begins[1:][stop[codes]] = True
+        begins[:-1][line_end[codes]] = False  # a line end is no sentence of its own
+        begins[tokens.offsets] = True
         first = np.flatnonzero(begins[:-1])
         number = np.cumsum(begins[:-1]) - 1
         length = size[codes]

@@ -100,7 +100,7 @@ class PpmModel:
             contexts = sorted({g[:-1] for g in grams})
             where = {c: j for j, c in enumerate(contexts)}
             of = np.array([where[g[:-1]] for g in grams], np.int64)
-            seen = np.array([[c[k].get(g, 0) for c in counts] for g in grams], float).reshape(-1, n)
+            seen = np.array([[c[k].get(g, 0) for c in counts] for g in grams], float).reshape(len(grams), n)
             total, kinds = np.zeros((len(contexts), n)), np.zeros((len(contexts), n))
             np.add.at(total, of, seen)
             np.add.at(kinds, of, seen > 0)

@@ -47,7 +47,8 @@ DEPTH = 5
 STEM = 3
 MARK, END = 0x20, 0x0A
 SLICE = 32 << 20
-PART = 2 << 20
+PART = 1 << 20
+WORDS = 4 << 20
 CHUNK = 200_000
 LOG10_2 = math.log10(2.0)
 WORD, GRAM = 0, 1
@@ -106,6 +107,25 @@ def gram_parts(
         first = last
 
 
+def numbered_words(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of a slice of texts, the words' numbers and the texts'
+    offsets; texts are cut into words a few megabytes at a time."""
+    pieces, offsets = [], [np.zeros(1, np.int64)]
+    for piece in text_slices(iter([part]), "text", WORDS):
+        tokens = Tokens(piece.column("text"))
+        pieces.append(pa.DictionaryArray.from_arrays(pa.array(tokens.codes, pa.int32()), tokens.words.cast(pa.string())))
+        offsets.append(offsets[-1][-1] + tokens.offsets[1:])
+    whole = pa.chunked_array(pieces).unify_dictionaries()
+    codes = np.concatenate([c.indices.to_numpy() for c in whole.chunks])
+    return whole.chunk(0).dictionary, codes, np.concatenate(offsets)
+
+
+def summed_grams(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted, distinct grams and the sums of their counts."""
+    kinds, place = np.unique(np.concatenate(grams), return_inverse=True)
+    return kinds, np.bincount(place, np.concatenate(counts), minlength=len(kinds)).astype(np.int64)
+
+
 def document_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of documents: a row per document (item: doc_id) with its word numbers,
     and a row with the block's words and (context, byte) integers and how often
@@ -114,26 +134,26 @@ def document_blocks(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for part in text_slices(batches, "text", SLICE):
-            tokens = Tokens(part.column("text"))
+            words, codes, offsets = numbered_words(part)
             n = part.num_rows
-            codes = np.insert(tokens.codes, tokens.offsets[1:], len(tokens.words))
-            offsets = tokens.offsets + np.arange(n + 1)
             learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
             # Frequent words get small numbers, which take little room.
-            order = np.argsort(-np.bincount(tokens.codes, minlength=len(tokens.words)), kind="stable")
-            number = np.empty(len(order) + 1, np.int64)
-            number[order], number[len(order)] = np.arange(len(order)), len(order)
-            codes, known = number[codes], tokens.words.take(pa.array(order))
-            del tokens
+            order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order))
+            codes, known = np.insert(number[codes], offsets[1:], len(order)), words.take(pa.array(order))
+            offsets = offsets + np.arange(n + 1)
             counts = np.bincount(codes[np.repeat(learn, np.diff(offsets))], minlength=len(known) + 1)
             kinds, times = [], []
             for first, last, grams, numbers, ends in gram_parts(known, codes, offsets):
                 taught = np.repeat(learn[first:last], np.diff(ends))
                 kinds.append(grams)
                 times.append(np.bincount(numbers[taught], minlength=len(grams)))
-            grams, place = np.unique(np.concatenate(kinds), return_inverse=True)
-            gram_counts = np.bincount(place, np.concatenate(times)).astype(np.int64)
-            words = pa.concat_arrays([known.cast(pa.string()), pa.array([chr(END)])])
+                if sum(map(len, kinds[1:])) > len(kinds[0]):
+                    kinds, times = [[v] for v in summed_grams(kinds, times)]
+            grams, gram_counts = summed_grams(kinds, times)
+            del kinds, times, numbers, taught
+            words = pa.concat_arrays([known, pa.array([chr(END)])])
             yield _rows(
                 [block] * n, part.column("doc_id").cast(pa.int64()), part.column("learn"),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(codes, pa.int32())),
@@ -183,7 +203,7 @@ def score_blocks(blocks: DataFrame, values: DataFrame, log_total: float) -> Data
         grams = head.column("grams").combine_chunks().flatten().to_numpy()
         lists = items.column("codes").combine_chunks()
         offsets = lists.offsets.to_numpy().astype(np.int64)
-        offsets, codes = offsets - offsets[0], lists.flatten().to_numpy().astype(np.int64)
+        offsets, codes = offsets - offsets[0], lists.flatten().to_numpy()
         is_word = pc.equal(right.column("kind"), WORD)
         told = right.filter(is_word)
         base, known = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
@@ -194,14 +214,18 @@ def score_blocks(blocks: DataFrame, values: DataFrame, log_total: float) -> Data
         value = np.zeros(len(grams))
         value[np.searchsorted(grams, told.column("code").to_numpy())] = told.column("amount").to_numpy() / UNIT
         score, size = np.zeros(items.num_rows), np.zeros(items.num_rows, np.int64)
+        own_base, own_known = np.zeros(items.num_rows), np.zeros(items.num_rows)
         for first, last, kinds, numbers, ends in gram_parts(words, codes, offsets):
+            run_codes, within = codes[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+            own_base[first:last] = segment_sum(base[run_codes], within)
+            own_known[first:last] = segment_sum(known[run_codes], within)
             score[first:last] = segment_sum(value[np.searchsorted(grams, kinds)][numbers], ends)
             size[first:last] = np.diff(ends)
         release_memory()
         return pa.table({
             "item": items.column("item"), "learn": items.column("learn"), "n_tokens": pa.array(np.diff(offsets)),
-            "n_known": pa.array(np.rint(segment_sum(known[codes], offsets)).astype(np.int64)),
-            "base_score": pa.array(segment_sum(base[codes], offsets)), "score": pa.array(score), "n_bytes": pa.array(size),
+            "n_known": pa.array(np.rint(own_known).astype(np.int64)),
+            "base_score": pa.array(own_base), "score": pa.array(score), "n_bytes": pa.array(size),
         })
 
     left = blocks.select(F.col("block").alias("of"), "item", "learn", "codes", "words", "grams")

@@ -32,12 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import Tokens, crc_bucket, mix64, read_table, segment_sum, text_slices
+from fundlake.llm.common import Tokens, crc_bucket, mix64, read_table, release_memory, segment_sum, text_slices
 from fundlake.llm.nbsvm_quality import labelled_sample
 
 BITS = 22
 SAMPLE_DOCS = 8000
 SAMPLE_CHARS = 20_000
+#: Texts of the sample that are taken apart at a time.
+PIECE = 250
 STEPS = 150
 RATE = 0.3
 DECAY = 1e-4
@@ -98,6 +100,19 @@ class Sentences:
         self.n = n
 
 
+    @classmethod
+    def joined(cls, parts: list["Sentences"]) -> "Sentences":
+        """The sentences of several slices of texts as those of one."""
+        whole = cls.__new__(cls)
+        whole.places = np.concatenate([p.places for p in parts])
+        whole.words, whole.bags = (
+            np.concatenate([[0], *(own[1:] + before for own, before in zip(each, np.cumsum([0, *(v[-1] for v in each)])))])
+            for each in ([p.words for p in parts], [p.bags for p in parts])
+        )
+        whole.n = sum(p.n for p in parts)
+        return whole
+
+
 class MilModel:
     def __init__(self, texts: list[str], y: np.ndarray, bits: int = BITS):
         self.bits, self.bias = bits, PRIOR
@@ -105,16 +120,20 @@ class MilModel:
         self.blind = not len(y) or y.max() == 0
         if self.blind:
             return
-        bag = Sentences(pa.array(texts, pa.large_string()), bits)
-        per_doc = np.repeat(np.arange(bag.n), np.diff(bag.words[bag.bags]))
-        pairs = np.unique(per_doc * (1 << bits) + bag.places)
-        place = pairs & ((1 << bits) - 1)
-        docs_with = np.bincount(place, minlength=1 << bits)
-        hits = np.bincount(place[y[pairs >> bits] == 1], minlength=1 << bits)
+        pieces = [(a, pa.array(texts[a : a + PIECE], pa.large_string())) for a in range(0, len(texts), PIECE)]
+        docs_with, hits = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        for a, piece in pieces:
+            bag = Sentences(piece, bits)
+            per_doc = np.repeat(np.arange(a, a + bag.n), np.diff(bag.words[bag.bags]))
+            pairs = np.unique(per_doc * (1 << bits) + bag.places)
+            place = pairs & ((1 << bits) - 1)
+            docs_with += np.bincount(place, minlength=1 << bits)
+            hits += np.bincount(place[y[pairs >> bits] == 1], minlength=1 << bits)
         share = min(y.mean(), 0.99)
         z = (hits - docs_with * share) / np.sqrt(np.maximum(docs_with, 1) * share * (1 - share))
         self.known = z >= MIN_Z
-        bag = Sentences(pa.array(texts, pa.large_string()), bits, self.known)
+        bag = Sentences.joined([Sentences(piece, bits, self.known) for _, piece in pieces])
+        release_memory()
         used = np.flatnonzero(self.known)
         at = np.searchsorted(used, bag.places)
         start = np.log((hits + 0.5) / (docs_with - hits + 0.5)) - np.log(share / (1 - share))

@@ -5,10 +5,13 @@ signs and a fast Hadamard transform) and named after the nearest signed axis,
 the coordinate of largest absolute value with its sign. A table's hash joins as
 many such names as :data:`BUCKET` vectors per bucket need at the number of
 vectors at hand (the last name looks at the first coordinates only), so the
-candidates of a query do not grow with the table. A query probes the
-:data:`PROBES` buckets of each table whose axes lose least against its own.
-Candidates are the distinct vectors of the probed buckets, reranked exactly
-by cosine in double precision.
+buckets stay small at every size. A query probes the buckets of each table whose
+axes lose least against its own: :data:`PROBES` of them, or as many more as the
+table at hand needs. That number is measured, not assumed: the true neighbours of
+:data:`SAMPLE` queries are found by a scan, and probing goes so deep that
+:data:`RECALL` of them lie in a probed bucket. Candidates are the distinct vectors of
+the probed buckets, reranked exactly by cosine in double precision. A query with
+fewer candidates than it may return neighbours is compared with all vectors.
 
 Equal vectors are one entry of the index: it stands for its ids, and since no
 query returns more than :data:`TOP` neighbours, the TOP + 1 smallest ids of an entry
@@ -42,6 +45,9 @@ TABLES = 48
 PROBES = 16
 BUCKET = 4
 QUERY_EVERY = 50
+#: Share of the sampled queries' true neighbours that the probed buckets must hold.
+RECALL = 0.95
+SAMPLE = 256
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -87,14 +93,45 @@ def probes(x: np.ndarray, table: int, sizes: list[int], count: int) -> np.ndarra
         best = np.argsort(-signed, axis=1, kind="stable")[:, :few]
         value = np.take_along_axis(signed, best, axis=1)
         missed = (value[:, :1] - value) ** 2
-        keys = (keys[:, :, None] * np.uint64(2 * size) + best[:, None, :].astype(np.uint64)).reshape(len(x), -1)
-        loss = (loss[:, :, None] + missed[:, None, :]).reshape(len(x), -1)
+        # Both sides ascend, so a pair behind count others is none of the best.
+        i, j = np.nonzero(np.arange(1, keys.shape[1] + 1)[:, None] * np.arange(1, few + 1) <= count)
+        keys = keys[:, i] * np.uint64(2 * size) + best[:, j].astype(np.uint64)
+        loss = loss[:, i] + missed[:, j]
         order = np.argsort(loss, axis=1, kind="stable")[:, :count]
         keys, loss = np.take_along_axis(keys, order, axis=1), np.take_along_axis(loss, order, axis=1)
     with np.errstate(over="ignore"):
         return mix64(keys + seeds(table + 1, 77)[-1])
 
 
+def probes_needed(queries: np.ndarray, found: np.ndarray, owner: np.ndarray, sizes: list[int], tables: int, count: int) -> np.ndarray:
+    """For each vector of ``found``, how many buckets a table its query (number ``owner``)
+    must probe to meet it in some table; ``count`` + 1 if that many do not suffice."""
+    needed = np.full(len(found), count + 1)
+    step = max(1, (1 << 20) // count)
+    for table in range(tables):
+        home = probes(found, table, sizes, 1)
+        for a in range(0, len(queries), step):
+            own = np.flatnonzero((owner >= a) & (owner < a + step))
+            same = probes(queries[a : a + step], table, sizes, count)[owner[own] - a] == home[own]
+            needed[own] = np.where(same.any(axis=1), np.minimum(needed[own], same.argmax(axis=1) + 1), needed[own])
+    return needed
+
+
+def probes_for(
+    queries: np.ndarray, found: np.ndarray, owner: np.ndarray, sizes: list[int], tables: int, least: int, recall: float = RECALL
+) -> int:
+    """The smallest number of probes, ``least`` or more, that meets ``recall`` of the true neighbours."""
+    if not len(found):
+        return least
+    buckets, goal = math.prod(2 * s for s in sizes), math.ceil(recall * len(found)) - 1
+    count = max(least, 16)
+    while True:
+        needed = np.sort(probes_needed(queries, found, owner, sizes, tables, count))
+        if needed[goal] <= count or count >= buckets:
+            return max(least, min(int(needed[goal]), buckets))
+        count = min(count * 4, buckets)
+
+
 def usable(table: DataFrame) -> DataFrame:
     """(id, vector as given) of the rows that take part, once each."""
     rows = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(
@@ -125,8 +162,9 @@ def hashed(rows: DataFrame, key: str, sizes: list[int], tables: int, count: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            rows_at_once = max(1, min(1024, (1 << 14) // count))
+            for at in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(at, rows_at_once)
                 column = part.column("vector")
                 x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(part.num_rows, -1)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -140,6 +178,53 @@ def hashed(rows: DataFrame, key: str, sizes: list[int], tables: int, count: int)
     return out.select(key, F.explode("buckets").alias("bucket"))
 
 
+def true_neighbours(index: DataFrame, ids: list[int], x: np.ndarray, top: int) -> DataFrame:
+    """(query, entry, vector) of the ``top`` other entries nearest to each row of ``x``, by a scan of the index."""
+    shared = index.sparkSession.sparkContext.broadcast((np.array(ids, np.int64), x))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, queries = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                entry, column = part.column("entry").to_numpy(), part.column("vector")
+                y = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(part.num_rows, -1)
+                score = queries @ (y / np.linalg.norm(y, axis=1, keepdims=True)).T
+                score[own[:, None] == entry[None, :]] = -np.inf
+                best = np.argsort(-score, axis=1, kind="stable")[:, :top]
+                value = np.take_along_axis(score, best, axis=1)
+                told = value > -np.inf
+                place = pa.array(best[told])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(own, told.sum(axis=1))), pa.array(value[told]), part.column("entry").take(place),
+                     column.cast(pa.list_(pa.float64())).take(place)],
+                    names=["query", "score", "entry", "vector"],
+                )
+
+    scored = index.select("entry", "vector").mapInArrow(run, "query bigint, score double, entry bigint, vector array<double>")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "entry"))
+    return scored.withColumn("r", rank).where(F.col("r") <= top).select("query", "entry", "vector")
+
+
+def unit(vectors: list) -> np.ndarray:
+    x = np.array(vectors, float)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def probe_depth(index: DataFrame, probing: DataFrame, sizes: list[int], top: int, tables: int, least: int) -> int:
+    """Probes a table that find :data:`RECALL` of the true neighbours of a sample of the queries."""
+    sample = probing.select("entry", "vector").orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).collect()
+    if not sample:
+        return least
+    ids, x = [r["entry"] for r in sample], unit([r["vector"] for r in sample])
+    found = true_neighbours(index, ids, x, top).collect()
+    if not found:
+        return least
+    place = {entry: i for i, entry in enumerate(ids)}
+    owner = np.array([place[r["query"]] for r in found])
+    return probes_for(x, unit([r["vector"] for r in found]), owner, sizes, tables, least)
+
+
 def cosines(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = np.stack(a.to_numpy()).astype(float), np.stack(b.to_numpy()).astype(float)
     dot = np.einsum("ij,ij->i", x, y)
@@ -157,13 +242,19 @@ def search(
     dims = sizes_seen["n"]
     rows = rows.where(F.size("vector") == dims)
     index = materialize(entries(rows, top), "entries")
-    sizes = name_sizes(index.count(), dims, bucket)
+    size = index.count()
+    sizes = name_sizes(size, dims, bucket)
     asked = rows.where(F.pmod("id", F.lit(every)) == 0).select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("own"))
     # Queries with equal vectors probe once: the entries of queries are hashed.
     probing = index.join(asked.select(F.col("own").alias("entry")).distinct(), "entry", "left_semi")
+    count = probe_depth(index, probing, sizes, top, tables, count)
     probed = hashed(probing.select(F.col("entry").alias("query"), "vector"), "query", sizes, tables, count)
     stored = hashed(index, "entry", sizes, tables, 1)
     pairs = materialize(probed.join(stored, "bucket").select("query", "entry").distinct(), "candidates")
+    # A query is its own candidate; with fewer than top others it meets all vectors.
+    short = pairs.groupBy("query").count().where(F.col("count") < min(top + 1, size)).select("query")
+    if not short.isEmpty():
+        pairs = pairs.unionByName(short.crossJoin(index.select("entry"))).distinct()
     vectors = index.select("entry", "vector")
     cosine = F.pandas_udf(cosines, DoubleType())
     scored = (

@@ -67,3 +67,15 @@ def test_odd_vectors(spark):
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 50] == [0, 1, 2, 3, 4]
     assert not any(q.query_id >= 2000 for q in got)
     assert cross_polytope.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_probes_follow_the_recall_not_a_fixed_number(spark):
+    """Few tables and one probe: the depth is measured, and no query stays short of neighbours."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("vec_id < 1500")
+    rows = table.toPandas()
+    want = brute(rows.vec_id.to_numpy(), np.stack(rows.embedding).astype(float))
+    got = {}
+    for r in cross_polytope.search(table, tables=4, count=1, bucket=1).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
+    assert sum(len({v for v, _ in want[q]} & got[q]) for q in want) >= 0.9 * 5 * len(want)

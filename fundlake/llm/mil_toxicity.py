@@ -11,8 +11,9 @@ Sentences end at ``.``, ``!`` or ``?`` at the end of a word, and at line ends.
 Features are lower-case runs of letters and their proper beginnings of
 :data:`STEMS` letters, hashed to 2^:data:`BITS` places and counted once a
 sentence. Only features that documents of label 1 hold clearly more often than
-chance has it (:data:`MIN_Z` standard deviations) get weights. The model is
-fitted on a bounded sample of labelled rows outside the held-out bucket
+chance has it (:data:`MIN_Z` standard deviations) get weights. A sentence without
+such a feature tells nothing: its probability is 0, so that a text's length alone adds
+nothing to its score. The model is fitted on a bounded sample of labelled rows outside the held-out bucket
 (:data:`SAMPLE_DOCS` documents of at most :data:`SAMPLE_CHARS` characters);
 scoring reads every whole text.
 
@@ -158,9 +159,10 @@ class MilModel:
     def _scores(weights: np.ndarray, bias: float, bag: Sentences) -> tuple[np.ndarray, np.ndarray]:
         """Sentence probabilities and the documents' noisy-or; ``weights`` of each feature of the bag."""
         margin = np.clip(segment_sum(weights, bag.words) + bias, -30, 30)
-        p = 1 / (1 + np.exp(-margin))
+        told = np.diff(bag.words) > 0  # sentences without a weighted feature add nothing
+        p = np.where(told, 1 / (1 + np.exp(-margin)), 0.0)
         # log(1 - p) = -log(1 + e^margin)
-        quiet = segment_sum(-np.log1p(np.exp(margin)), bag.bags)
+        quiet = segment_sum(np.where(told, -np.log1p(np.exp(margin)), 0.0), bag.bags)
         return p, -np.expm1(quiet)
 
     def sentences(self, texts: pa.Array) -> tuple[Sentences, np.ndarray, np.ndarray]:

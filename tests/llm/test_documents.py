@@ -269,3 +269,14 @@ def test_pipeline_stages(spark, odd_documents):
         docs = after
         sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] == sizes[-2] > 0
+
+
+def test_length_alone_is_not_toxic(spark):
+    bad, good = "You are an idiot today.", "The sky is blue."
+    texts = [f"{good} {bad} {good}" if i % 3 == 0 else f"{good} {good}" for i in range(300)]
+    model = mil_toxicity.MilModel(texts, np.array([i % 3 == 0 for i in range(300)], int))
+    long = " ".join([good] * 20_000)
+    assert model.score(pa.array([long, f"{long} {bad}"])).round(3).tolist() == pytest.approx([0.0, 1.0], abs=0.2)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    found = held_out(mil_toxicity.op5_mil_toxicity(spark, "/root/testdata/sf0.01").collect(), labels, "toxic", 0, 5)
+    assert np.mean([r.predicted for r, y in found if y == 1]) > 0.6

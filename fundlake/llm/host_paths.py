@@ -5,10 +5,12 @@ Every page is read into blocks of text, each under the path of its containers
 page headers and footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments. Containers are scored by the text of their blocks less that of
 links, and a page's own choice is the deepest container that holds most of its
-page's score. The pages of a host vote with their choices in Spark; the path
+page's score and leaves no prose behind: no text that stands directly in a container
+on the way, nothing inside an article or main element, and elsewhere no heading and no
+sentence. The pages of a host vote with their choices in Spark; the path
 with most votes (then the largest score, then the first path) is the host's, and all
-pages are extracted again with it. A page without the host's path, or with nothing
-under it, is extracted with its own choice.
+pages are extracted again with it. A page without the host's path, or where that path
+holds nothing or leaves prose behind, is extracted with its own choice.
 
 Inside a block white space becomes one space; blocks are joined in page order
 by an empty line; character references are decoded.
@@ -44,6 +46,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+", re.I)
+_SENTENCE = re.compile(r"[.!?…。！？।۔؟]['\"”’»)\]]*(?:\s|\Z)")
+_ARTICLE = re.compile(r"/(?:article|main)[./]")
 _NUMBERS = re.compile(r"\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +61,7 @@ BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 ) | SKIPPED
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a new element of the same group closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
 #: Words of classes, ids and roles that mark boilerplate.
@@ -70,10 +75,15 @@ BOILERPLATE = frozenset(
 
 
 class Block:
-    __slots__ = ("path", "text", "link")
+    __slots__ = ("path", "text", "link", "heading")
 
-    def __init__(self, path: str, text: str, link: int):
-        self.path, self.text, self.link = path, text, link
+    def __init__(self, path: str, text: str, link: int, heading: bool = False):
+        self.path, self.text, self.link, self.heading = path, text, link, heading
+
+    @property
+    def gain(self) -> float:
+        """Its text less that of links."""
+        return max(0.0, len(self.text) - 2.0 * self.link)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -101,8 +111,8 @@ def _label(tag: str, attributes: dict[str, str]) -> str:
 def blocks(source: str) -> list[Block]:
     """The text blocks of a page in page order, without boilerplate."""
     found: list[Block] = []
-    # Open elements: (tag, path of containers, skipped, inside an article).
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    # Open elements: (tag, path of containers, skipped, inside an article, inside a heading).
+    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
     pieces: list[str] = []
     link_open, link = 0, 0
     path = ""
@@ -112,7 +122,7 @@ def blocks(source: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                found.append(Block(path, text, link))
+                found.append(Block(path, text, link, stack[-1][4]))
             pieces.clear()
         link = 0
 
@@ -169,18 +179,35 @@ def blocks(source: str) -> list[Block]:
         attributes = _attributes(m[3])
         skipped = top[2] or _is_boilerplate(tag, attributes, top[3])
         own = f"{top[1]}/{_label(tag, attributes)}" if tag in CONTAINERS else top[1]
-        stack.append((tag, own, skipped, top[3] or tag in ("article", "main")))
+        stack.append((tag, own, skipped, top[3] or tag in ("article", "main"), top[4] or tag in HEADINGS))
         path = own
         link_open += tag == "a"
     flush()
     return found
 
 
+def _under(block: Block, path: str) -> bool:
+    return path == "" or block.path == path or block.path.startswith(path + "/")
+
+
+def leaves_prose(found: list[Block], path: str) -> bool:
+    """Whether article text of the page stands outside ``path``.
+
+    That is text beside links that stands directly in a container around the path or
+    inside an article or main element, or that is a heading or holds a sentence.
+    """
+    return any(
+        b.gain > 0 and not _under(b, path)
+        and (path.startswith(b.path + "/") or _ARTICLE.search(b.path + "/") or b.heading or _SENTENCE.search(b.text))
+        for b in found
+    )
+
+
 def best_path(found: list[Block], share: float = SHARE) -> tuple[str, float]:
-    """The deepest container that holds most of the page's score, and its score."""
+    """The deepest container that holds most of the page's score and leaves no prose behind, and its score."""
     scores: dict[str, float] = defaultdict(float)
     for b in found:
-        gain = max(0.0, len(b.text) - 2.0 * b.link)
+        gain = b.gain
         at = len(b.path)
         while at > 0:
             scores[b.path[:at]] += gain
@@ -189,7 +216,7 @@ def best_path(found: list[Block], share: float = SHARE) -> tuple[str, float]:
     while True:
         below = [(s, p) for p, s in scores.items() if p.startswith(path + "/") and p.count("/") == path.count("/") + 1]
         score, deeper = max(below, default=(0.0, ""), key=lambda x: (x[0], x[1]))
-        if not deeper or score < share * total or score <= 0:
+        if not deeper or score < share * total or score <= 0 or leaves_prose(found, deeper):
             return path, scores.get(path, 0.0)
         path = deeper
 
@@ -197,12 +224,13 @@ def best_path(found: list[Block], share: float = SHARE) -> tuple[str, float]:
 def extract(source: str | None, host_path: str | None) -> tuple[str, str]:
     """The text under the host's path (or the page's own choice), and the path used."""
     found = blocks(source or "")
-    for path in (host_path, best_path(found)[0]):
-        if path is not None:
-            own = [b.text for b in found if b.path == path or b.path.startswith(path + "/") or path == ""]
-            if own:
-                return "\n\n".join(own), path
-    return "", host_path or ""
+    if host_path is not None and not leaves_prose(found, host_path):
+        own = [b.text for b in found if _under(b, host_path)]
+        if own:
+            return "\n\n".join(own), host_path
+    path = best_path(found)[0]
+    own = [b.text for b in found if _under(b, path)]
+    return ("\n\n".join(own), path) if own else ("", host_path or "")
 
 
 def host_of(url):

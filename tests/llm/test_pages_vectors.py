@@ -79,3 +79,19 @@ def test_probes_follow_the_recall_not_a_fixed_number(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
     assert sum(len({v for v, _ in want[q]} & got[q]) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_titles_leads_and_prose_beside_the_longest_container_are_kept():
+    long = "A long sentence of the article. " * 40
+    lead = f"<body><article><h1>Title</h1><p>lead</p><div class=content><p>{long}</div></article></body>"
+    text, path = host_paths.extract(lead, None)
+    assert text == f"Title\n\nlead\n\n{long.strip()}" and path == "/body/article"
+    assert host_paths.extract(lead, "/body/article/div.content")[0] == text  # whatever the host's path
+    two = f"<body><article><h1>T</h1><p>intro<section><p>{long}</section><section><p>{long}</section></article>"
+    assert host_paths.extract(two, None)[0] == f"T\n\nintro\n\n{long.strip()}\n\n{long.strip()}"
+    table = f"<body><div class=a><p>Prose beside it.</p></div><table><tr><td>{long * 9}</td></tr></table></body>"
+    assert host_paths.extract(table, None)[0].startswith("Prose beside it.")
+    split = f"<body><div class=top><h1>Title</h1></div><div class=content><p>{long}</p></div><div class=x>12:30</div></body>"
+    assert host_paths.extract(split, None)[0].startswith("Title\n\nA long")
+    chosen = f"<body><div class=content><p>{long}</p></div><div class=x>12:30</div></body>"
+    assert host_paths.extract(chosen, None) == (long.strip(), "/body/div.content")

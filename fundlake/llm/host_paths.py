@@ -2,8 +2,9 @@
 
 Every page is read into blocks of text, each under the path of its containers
 (tag and classes, numbers generalised). Boilerplate elements are left out: menus,
-page headers and footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments. Containers are scored by the text of their blocks less that of
+page headers and footers, sidebars, notices, adverts, forms, scripts, styles, drawings and
+reader comments, by their tags and by the words in the names of containers; words that
+may name a part of an article as well only lower a container's score inside one. Containers are scored by the text of their blocks less that of
 links, and a page's own choice is the deepest container that holds most of its
 page's score and leaves no prose behind: no text that stands directly in a container
 on the way, nothing inside an article or main element, and elsewhere no heading and no
@@ -52,7 +53,7 @@ _NUMBERS = re.compile(r"\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is raw text, not markup.
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 SKIPPED = frozenset(
     "nav footer aside form button select option dialog menu object canvas audio video map datalist head".split()
 )
@@ -64,26 +65,42 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a new element of the same group closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
+#: Elements whose classes, ids and roles may mark boilerplate; not headings, paragraphs, list items or inline elements.
+MARKED = frozenset("div section table tbody tr td center ul ol dl fieldset details address header hgroup iframe".split())
 #: Words of classes, ids and roles that mark boilerplate.
 BOILERPLATE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion "
-    "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup "
-    "sidebar sidenav aside widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead "
-    "topbar toolbar share sharing social related recommended recommendations comment comments commentlist disqus reply replies "
-    "respond discussion login search searchbox complementary contentinfo form hidden skip copyright".split()
+    "ad ads adv advert adverts advertisement advertising adsense adslot "
+    "cookie cookies consent gdpr newsletter subscribe signup "
+    "sidebar sidenav widget widgets nav navbar breadcrumb breadcrumbs pagination pager footer masthead "
+    "topbar toolbar sharing comments commentlist disqus searchbox complementary contentinfo".split()
 )
+#: Words that may as well name a part of an article. They mark a container outside
+#: articles, by tokens that hold nothing but such words; inside they only lower its score.
+AMBIGUOUS = frozenset(
+    "banner sponsor sponsored promo promotion notice notification alert popup modal overlay subscription aside menu navigation "
+    "share social related recommended recommendations comment reply replies respond discussion login search form hidden "
+    "skip copyright".split()
+)
+#: Words that say nothing about the content.
+STRUCTURE = frozenset(
+    "area bar block box button buttons container content group inner items item links link list main outer page panel post posts "
+    "section site top middle bottom left right inline unit slot mobile desktop wrap wrapper".split()
+)
+PENALTY = 0.25
+#: Elements of markup of their own; block elements of the page end an unclosed one.
+FOREIGN = frozenset("svg math".split())
 
 
 class Block:
-    __slots__ = ("path", "text", "link", "heading")
+    __slots__ = ("path", "text", "link", "heading", "doubt")
 
-    def __init__(self, path: str, text: str, link: int, heading: bool = False):
-        self.path, self.text, self.link, self.heading = path, text, link, heading
+    def __init__(self, path: str, text: str, link: int, heading: bool = False, doubt: bool = False):
+        self.path, self.text, self.link, self.heading, self.doubt = path, text, link, heading, doubt
 
     @property
     def gain(self) -> float:
-        """Its text less that of links."""
-        return max(0.0, len(self.text) - 2.0 * self.link)
+        """Its text less that of links; little in a doubtful container."""
+        return max(0.0, len(self.text) - 2.0 * self.link) * (PENALTY if self.doubt else 1.0)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -91,7 +108,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _is_boilerplate(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
-    if tag in SKIPPED or (tag == "header" and not inside_article):
+    if tag in SKIPPED or tag in ("svg", "annotation", "annotation-xml") or (tag == "header" and not inside_article):
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
@@ -99,8 +116,32 @@ def _is_boilerplate(tag: str, attributes: dict[str, str], inside_article: bool)
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
         return True
-    marked = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
-    return any(w.lower() in BOILERPLATE for w in _WORDS.findall(marked))
+    if tag not in MARKED:
+        return False
+    id_ = attributes.get("id", "")
+    named = f"{attributes.get('class', '')} {attributes.get('role', '')}"
+    # The id of a section is the slug of its heading.
+    slugless = named if tag == "section" else f"{named} {id_}"
+    if inside_article:
+        return any(_is_pure(t, BOILERPLATE) for t in slugless.split())
+    if any(w.lower() in BOILERPLATE for w in _WORDS.findall(f"{named} {id_}")):
+        return True
+    return any(_is_pure(t, AMBIGUOUS) for t in slugless.split())
+
+
+def _is_pure(token: str, names: frozenset[str]) -> bool:
+    """Whether a token holds one of the names and beside it only words that mark boilerplate or say nothing."""
+    words = [w.lower() for w in _WORDS.findall(token)]
+    return any(w in names for w in words) and all(
+        w in BOILERPLATE or w in AMBIGUOUS or w in STRUCTURE or len(w) < 3 for w in words
+    )
+
+
+def _is_doubtful(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether ambiguous words lower the score of a container inside an article."""
+    if tag not in MARKED or not attributes:
+        return False
+    return any(_is_pure(t, AMBIGUOUS) for t in f"{attributes.get('class', '')} {attributes.get('role', '')}".split())
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
@@ -111,8 +152,8 @@ def _label(tag: str, attributes: dict[str, str]) -> str:
 def blocks(source: str) -> list[Block]:
     """The text blocks of a page in page order, without boilerplate."""
     found: list[Block] = []
-    # Open elements: (tag, path of containers, skipped, inside an article, inside a heading).
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
+    # Open elements: (tag, path of containers, skipped, inside an article, inside a heading, doubtful).
+    stack: list[tuple[str, str, bool, bool, bool, bool]] = [("", "", False, False, False, False)]
     pieces: list[str] = []
     link_open, link = 0, 0
     path = ""
@@ -122,7 +163,7 @@ def blocks(source: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                found.append(Block(path, text, link, stack[-1][4]))
+                found.append(Block(path, text, link, stack[-1][4], stack[-1][5]))
             pieces.clear()
         link = 0
 
@@ -163,6 +204,10 @@ def blocks(source: str) -> list[Block]:
             continue
         if tag in BLOCKS:
             flush()
+            foreign = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in FOREIGN or stack[i][0] == "foreignobject"), 0)
+            if foreign and stack[foreign][0] in FOREIGN:
+                link_open = max(0, link_open - sum(x[0] == "a" for x in stack[foreign:]))
+                del stack[foreign:]
             closing = CLOSES.get(tag, set()) if tag in CLOSES else set()
             if tag != "p":
                 closing = closing | {"p"}
@@ -179,7 +224,9 @@ def blocks(source: str) -> list[Block]:
         attributes = _attributes(m[3])
         skipped = top[2] or _is_boilerplate(tag, attributes, top[3])
         own = f"{top[1]}/{_label(tag, attributes)}" if tag in CONTAINERS else top[1]
-        stack.append((tag, own, skipped, top[3] or tag in ("article", "main"), top[4] or tag in HEADINGS))
+        article = top[3] or tag in ("article", "main")
+        doubtful = top[5] or article and _is_doubtful(tag, attributes)
+        stack.append((tag, own, skipped, article, top[4] or tag in HEADINGS, doubtful))
         path = own
         link_open += tag == "a"
     flush()

@@ -95,3 +95,19 @@ def test_titles_leads_and_prose_beside_the_longest_container_are_kept():
     assert host_paths.extract(split, None)[0].startswith("Title\n\nA long")
     chosen = f"<body><div class=content><p>{long}</p></div><div class=x>12:30</div></body>"
     assert host_paths.extract(chosen, None) == (long.strip(), "/body/div.content")
+
+
+def test_everyday_words_in_names_do_not_hide_article_text():
+    page = (
+        '<body><article><h1 id="how-to-search">Title</h1><section id="discussion"><h2 id="related-work">Work</h2><p>One.</p></section>'
+        '<div class="search-results-analysis"><p>Two.</p></div><div class="reply"><p>Three.</p></div>'
+        '<p>Open the <span class="menu">File</span> list: <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math></p>'
+        '<div class="ad-300x250">buy</div><section class="comments-list"><p>Bad comment.</p></section></article>'
+        '<div class="related-posts"><p>More.</p></div></body>'
+    )
+    text, path = host_paths.extract(page, None)
+    assert text == "Title\n\nWork\n\nOne.\n\nTwo.\n\nThree.\n\nOpen the File list: x=2" and path == "/body/article"
+    for tag in ("svg", "math"):
+        text = host_paths.extract(f"<body><div><{tag}><path d='x'></div><p>The rest.</p><{tag}><g><p>And more.</p></body>", None)[0]
+        assert text == "The rest.\n\nAnd more."
+    assert host_paths.extract("<body><p>a <svg><title>t</title><text>no</text></svg>b</p></body>", None)[0] == "a b"

@@ -8,12 +8,16 @@ every alignment is verified on the words themselves: a window of
 :data:`WINDOW` words (the item's length, if shorter) with at least 80 % equal
 words marks the pair as an overlap.
 
+Items with fewer than :data:`SHORT` words are too short for the masks. They are cut into
+runs of words, one more than the verification lets substituted words be, of which at least
+one is thus copied as it is; runs are joined by hash, so no overlap of such an item is missed.
+
 Documents are read in segments of :data:`SEGMENT` words with SPAN - 1 words of
 the next one, so a very long text needs no long row; nothing is cut off. The
 seeds of the benchmark are broadcast behind a check of their number
 (:data:`BROADCAST_SEEDS`); beyond it Spark joins by shuffling.
 
-Defined results: null or empty texts and items with fewer than SPAN words give
+Defined results: null or empty texts and items without words give
 no rows; repeated rows of a document give one row per document and item; no
 rows on either side give no rows; rows with null ids are ignored; extra columns
 are ignored.
@@ -35,6 +39,8 @@ WINDOW = 13
 SHARE = 80
 SEGMENT = 4096
 BROADCAST_SEEDS = 1_000_000
+#: Items of fewer words are searched by runs of words.
+SHORT = 15
 
 
 def words(text: Column) -> Column:
@@ -61,14 +67,70 @@ def seeds_of(table: DataFrame, key: str) -> DataFrame:
     return whole.select(key, (F.col("s") * SEGMENT + F.col("p")).alias("at"), F.explode(hashed).alias("seed"))
 
 
+def item_hashes(items: DataFrame) -> DataFrame:
+    """(item_id, iw, n, short): an item's word hashes; white space around a short item is no word of it."""
+    split = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+        "item_id", words(F.col("text")).alias("raw"), F.filter(words(F.col("text")), lambda w: w != "").alias("real")
+    )
+    short = F.size("real") < SHORT
+    return split.select(
+        "item_id", F.transform(F.when(short, F.col("real")).otherwise(F.col("raw")), lambda w: F.xxhash64(w)).alias("iw"),
+        F.size("real").alias("n"), short.alias("short"),
+    )
+
+
+def short_runs(n: int) -> tuple[int, list[int]]:
+    """Length and beginnings of the runs of an item of ``n`` words: one run more than a window
+    may have substituted words, all of them in every window of the item."""
+    window = min(WINDOW, n)
+    runs = window - -(-SHARE * window // 100) + 1
+    size = (window - (n - window)) // runs
+    return size, [n - window + i * size for i in range(runs)]
+
+
+def short_hits(docs: DataFrame, items: DataFrame, broadcast_seeds: int) -> DataFrame | None:
+    """Distinct (doc_id, item_id, shift) for the runs of short items; None without such items."""
+    short = item_hashes(items).where("short and n > 0")
+    lengths = sorted(r["n"] for r in short.select("n").distinct().collect())
+    if not lengths:
+        return None
+    runs = [(n, *short_runs(n)) for n in lengths]
+    pieces = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(size).alias("size"), F.lit(at).alias("at")) for n, size, ats in runs for at in ats])
+    known = short.select("item_id", "iw", "n", F.explode(F.filter(pieces, lambda p: p["n"] == F.col("n"))).alias("p")).selectExpr(
+        "item_id", "p.at as item_at", "p.size as size", "xxhash64(slice(iw, p.at + 1, p.size)) as seed"
+    )
+    known = materialize(known, "short_item_runs")
+    sizes = sorted({size for _, size, _ in runs})
+    longest = sizes[-1]
+    hashed = docs.where("doc_id is not null and text is not null").select("doc_id", word_hashes(F.col("text")).alias("h"))
+    segments = hashed.select(
+        "doc_id", "h", F.explode(F.expr(f"sequence(0L, cast((size(h) - 1) div {SEGMENT} as bigint))")).alias("s")
+    ).select("doc_id", "s", F.expr(f"slice(h, cast(s * {SEGMENT} + 1 as int), {SEGMENT + longest - 1})").alias("h"))
+    placed = segments.selectExpr(
+        "doc_id", f"s * {SEGMENT} as base", "h", f"explode(sequence(1, least(size(h), {SEGMENT}))) as p"
+    ).select(
+        "doc_id", (F.col("base") + F.col("p") - 1).alias("at"),
+        F.explode(F.array(*[
+            F.struct(F.lit(size).alias("size"), F.expr(f"if(p + {size - 1} <= size(h), xxhash64(slice(h, p, {size})), null)").alias("seed"))
+            for size in sizes
+        ])).alias("r"),
+    ).selectExpr("doc_id", "at", "r.size as size", "r.seed as seed")
+    few = known.count() <= broadcast_seeds
+    found = placed.join(F.broadcast(known) if few else known, ["size", "seed"])
+    return found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+
+
 def seed_hits(docs: DataFrame, items: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """Distinct (doc_id, item_id, shift): word i of the item lies at word i + shift of the text."""
+    long = items.join(item_hashes(items).where("not short").select("item_id").distinct(), "item_id", "left_semi")
     known = materialize(
-        seeds_of(items, "item_id").select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "item_seeds"
+        seeds_of(long, "item_id").select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "item_seeds"
     )
     few = known.count() <= broadcast_seeds
     found = seeds_of(docs, "doc_id").join(F.broadcast(known) if few else known, "seed")
-    return found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    hits = found.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    short = short_hits(docs, items, broadcast_seeds)
+    return hits if short is None else hits.unionByName(short)
 
 
 def overlaps(docs: DataFrame, items: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
@@ -81,7 +143,7 @@ def overlaps(docs: DataFrame, items: DataFrame, broadcast_seeds: int = BROADCAST
     """
     docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
     hits = materialize(seed_hits(docs, items, broadcast_seeds), "seed_hits")
-    item_words = items.select("item_id", word_hashes(F.col("text")).alias("iw"))
+    item_words = item_hashes(items).select("item_id", "iw")
     doc_words = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi").select(
         "doc_id", word_hashes(F.col("text")).alias("dw")
     )

@@ -280,3 +280,26 @@ def test_length_alone_is_not_toxic(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
     found = held_out(mil_toxicity.op5_mil_toxicity(spark, "/root/testdata/sf0.01").collect(), labels, "toxic", 0, 5)
     assert np.mean([r.predicted for r, y in found if y == 1]) > 0.6
+
+
+def test_short_benchmark_items_are_found_with_all_allowed_substitutions(spark):
+    """Items of 1 to 14 words: every substitution that the verification accepts, and none that it refuses."""
+    items, docs, want, word = [], [], set(), iter(range(10**6))
+    for n in range(1, 15):
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, "  " + " ".join(item).upper() + "\n"))
+        for wrong in [(), *[(a,) for a in range(n)], *[(a, b) for a in range(n) for b in range(a)], *([(0, 1, 2)] if n > 2 else [])]:
+            text = [f"q{next(word)}" if k in wrong else w for k, w in enumerate(item)]
+            doc = len(docs)
+            docs.append((doc, " ".join([f"n{doc}"] * (doc % 3) + text + [f"m{doc}"] * (doc % 2))))
+            window = min(13, n)
+            matched = max(sum(k not in wrong for k in range(a, a + window)) for a in range(n - window + 1))
+            if 100 * matched >= 80 * window:
+                want.add((doc, n, matched, window, doc % 3))
+    docs += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, " ".join(["z"] * 5000 + [f"i9x{k}" for k in range(9)]))]
+    want.add((10**6 + 2, 9, 9, 9, 5000))
+    items += [(100, ""), (101, "  "), (102, None)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    for bound in (10**6, 0):
+        got = spaced_seeds.overlaps(spark.createDataFrame(docs, DOCS), items, bound).collect()
+        assert len(got) == len(want) and {(r.doc_id, r.item_id, r.matched, r.window, r.start) for r in got} == want

@@ -15,7 +15,7 @@ chunks of :data:`CHUNK` words), so memory does not grow with the text.
 
 The models are fitted on a bounded sample of the labelled rows
 (:data:`SAMPLE_DOCS` documents and :data:`SAMPLE_CHARS` characters a language,
-both taken in hash order), so the broadcast model has a proven size bound;
+both taken in hash order of the distinct texts), so the broadcast model has a proven size bound;
 prediction reads every whole text.
 
 Defined results: a null, empty or letterless text gets ``und`` with score 0;
@@ -39,6 +39,8 @@ from fundlake.llm.common import Tokens, crc_bucket, has_letter, read_table, segm
 ORDER = 4
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 250_000
+#: Texts that the characters of a language's sample suffice for at least.
+MIN_TEXTS = 10
 CHUNK = 50_000
 SLICE = 8 << 20
 UNDETERMINED = "und"
@@ -52,26 +54,39 @@ def training_sample(
 ) -> dict[str, list[str]]:
     """At most ``max_docs`` texts and about ``max_chars`` characters for each language.
 
-    Texts over ``max_chars`` are not used for training (whole texts only). The
+    Equal texts count once, and of a text at most ``max_chars / MIN_TEXTS`` characters
+    are taken (its whole words up to there), so a model rests on many texts. The
     result on the driver is bounded by languages x ``max_chars``.
     """
-    usable = docs.where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= max_chars)
-    ).select("lang", "text", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    by_hash = Window.partitionBy("lang").orderBy("h", "text")
+    most = max(max_chars // MIN_TEXTS, 1)
+    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    hashed = usable.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
+    by_hash = Window.partitionBy("lang").orderBy("h", "n")
     # Two levels: the first of each language in 16 parts, then of the language,
-    # so that no task ranks a whole language.
-    parts = Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h", "text")
-    few = usable.withColumn("r", F.row_number().over(parts)).where(F.col("r") <= max_docs)
+    # so that no task ranks a whole language. The texts follow for the chosen only.
+    parts = Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h", "n")
+    few = hashed.distinct().withColumn("r", F.row_number().over(parts)).where(F.col("r") <= max_docs)
     few = few.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= max_docs)
-    running = few.withColumn("before", F.sum("n").over(by_hash.rowsBetween(Window.unboundedPreceding, -1)))
-    kept = running.where(F.coalesce("before", F.lit(0)) + F.col("n") <= max_chars)
+    running = few.withColumn("upto", F.sum(F.least("n", F.lit(most))).over(by_hash.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = running.where(F.col("upto") <= max_chars).select("lang", "h", "n", "r")
+    texts = usable.select(
+        "lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"), F.substring("text", 1, most + 1).alias("text")
+    )
+    chosen = texts.join(F.broadcast(kept), ["lang", "h", "n"]).groupBy("lang", "r").agg(F.max("text").alias("text"))
     out: dict[str, list[str]] = defaultdict(list)
-    for row in kept.select("lang", "text").orderBy("lang", "r").collect():
-        out[row["lang"]].append(row["text"])
+    for row in chosen.orderBy("lang", "r").collect():
+        out[row["lang"]].append(_beginning(row["text"], most))
     return dict(out)
 
 
+def _beginning(text: str, most: int) -> str:
+    """The whole words of a text within ``most`` characters (a longer first word is cut)."""
+    if len(text) <= most:
+        return text
+    cut = max(text.rfind(space, 0, most + 1) for space in " \t\n\v\f\r")
+    return text[:cut] if cut > 0 else text[:most]
+
+
 class PpmModel:
     """Frozen per-language byte statistics as sorted arrays, one set per order.
 

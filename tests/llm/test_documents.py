@@ -303,3 +303,11 @@ def test_short_benchmark_items_are_found_with_all_allowed_substitutions(spark):
     for bound in (10**6, 0):
         got = spaced_seeds.overlaps(spark.createDataFrame(docs, DOCS), items, bound).collect()
         assert len(got) == len(want) and {(r.doc_id, r.item_id, r.matched, r.window, r.start) for r in got} == want
+
+
+def test_language_sample_rests_on_many_texts(spark):
+    rows = [("en", "the same text")] * 500 + [("en", f"text {i} of many") for i in range(20)] + [("fr", "mot " * 3000 + str(i)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = ppm_langid.training_sample(docs, 30, 1000)
+    assert sorted(got["en"]) == sorted({t for lang, t in rows if lang == "en"})
+    assert got["fr"] and all(len(t) <= 100 and set(t.split()) == {"mot"} for t in got["fr"])

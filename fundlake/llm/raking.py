@@ -135,9 +135,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     chance = materialize(
         raked.select(*MARGINS, F.round(F.least(F.lit(1.0), F.lit(k) * F.col("weight") / F.col("tokens")), 6).alias("p")), "chances"
     )
-    taken = counted.join(chance, list(MARGINS)).where(sampling_number(F.col("doc_id")) < F.col("p"))
-    ids = materialize(taken.select("doc_id").distinct(), "sampled_ids")
-    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    # The documents' own margins meet the chances, so that rows without id are sampled like others.
+    told = docs.withColumns({
+        "__source": F.coalesce("source", F.lit("")), "__lang": F.coalesce("lang", F.lit("")),
+        "__topic": last_word_topic(words(F.col("text"))),
+    })
+    chance = chance.select(*[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("p").alias("__p"))
+    taken = told.join(chance, [f"__{m}" for m in MARGINS]).where(sampling_number(F.col("doc_id")) < F.col("__p"))
+    return taken.select(*docs.columns)
 
 
 def oracle_parts(table: str = "documents", sweeps: int = SWEEPS) -> list[str]:

@@ -311,3 +311,14 @@ def test_language_sample_rests_on_many_texts(spark):
     got = ppm_langid.training_sample(docs, 30, 1000)
     assert sorted(got["en"]) == sorted({t for lang, t in rows if lang == "en"})
     assert got["fr"] and all(len(t) <= 100 and set(t.split()) == {"mot"} for t in got["fr"])
+
+
+def test_mixing_keeps_rows_without_id(spark):
+    rows = [(None if i < 3 else i, f"word{i % 3} text", "en", "a", i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, p int")
+    want = [r.sampled for r in raking.mix(docs).collect() if r.doc_id is None]
+    got = raking.mixing_stage(spark, docs, SF)
+    assert got.columns == docs.columns and len(want) == 3
+    assert got.where("doc_id is null").count() == sum(want) > 0
+    assert sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == sorted(
+        r.doc_id for r in raking.mix(docs).where("sampled and doc_id is not null").collect())

@@ -26,7 +26,7 @@ class PipelineResult:
     companies: DataFrame
     enriched: DataFrame
     reconciled: reconcile.Reconciled
-    rejected: DataFrame  # extraction failures of both model stages
+    rejected: DataFrame  # failures of both model stages: url (or uuid), error, the whole reply if there was one
 
 
 def scrape(listing_pages: DataFrame, article_pages: DataFrame,
@@ -71,9 +71,9 @@ def extract_companies(articles: DataFrame, extractor: enrich.RowFn, agent_envelo
     })
     if agent_envelope:
         companies = responses.drop_schema_echo_names(companies)
-    failed = res.where(F.col("error").isNotNull()).select("url", "error")
+    failed = res.where(F.col("error").isNotNull()).select("url", "error", F.lit(None).cast("string").alias("reply"))
     unreadable = decoded.where(~usable).select(
-        "url", F.concat(F.lit("unparseable reply: "), F.coalesce(F.substring("value", 1, 200), F.lit("none"))).alias("error")
+        "url", F.when(F.col("value").isNull(), "no reply").otherwise("unparseable reply").alias("error"), F.col("value").alias("reply")
     )
     return companies, failed.unionByName(unreadable)
 
@@ -89,13 +89,14 @@ def add_funding(companies: DataFrame, extractor: enrich.RowFn, concurrency: int
     replies = enrich.successes(res).select(
         "uuid", "attempt", "value", variant.field(F.try_parse_json("value"), "funding_rounds").alias("rounds")
     )
-    # A reply without the field changes nothing and is rejected with its text.
+    # A reply without the field changes nothing and is rejected with its whole text.
     ok = replies.where(F.col("rounds").isNotNull()).select("uuid", F.to_json("rounds").alias("value"), F.col("attempt").alias("result_ord"))
     unreadable = replies.where(F.col("rounds").isNull()).select(
-        "uuid", F.concat(F.lit("unparseable reply: "), F.coalesce(F.substring("value", 1, 200), F.lit("none"))).alias("error")
+        "uuid", F.when(F.col("value").isNull(), "no reply").otherwise("unparseable reply").alias("error"), F.col("value").alias("reply")
     )
     enriched = materialize(lookup.update_join(companies, ok, "uuid", "value", "result_ord", "funding_rounds"), "enriched")
-    return enriched, res.where(F.col("error").isNotNull()).select("uuid", "error").unionByName(unreadable)
+    failed = res.where(F.col("error").isNotNull()).select("uuid", "error", F.lit(None).cast("string").alias("reply"))
+    return enriched, failed.unionByName(unreadable)
 
 
 def run(listing_pages: DataFrame, article_pages: DataFrame, company_extractor: enrich.RowFn,
@@ -105,5 +106,5 @@ def run(listing_pages: DataFrame, article_pages: DataFrame, company_extractor: e
     companies, bad1 = extract_companies(articles, company_extractor, agent_envelope)
     enriched, bad2 = add_funding(companies, funding_extractor)
     reconciled = reconcile.reconcile_funding(enriched)  # step 3 (O-52..O-56, O-20)
-    rejected = bad1.select("url", "error").unionByName(bad2.select(F.col("uuid").alias("url"), "error"))
+    rejected = bad1.select("url", "error", "reply").unionByName(bad2.select(F.col("uuid").alias("url"), "error", "reply"))
     return PipelineResult(index, articles, companies, enriched, reconciled, rejected)

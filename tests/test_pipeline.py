@@ -46,3 +46,13 @@ def test_pipeline_end_to_end(spark):
     # Beta's funding call fails twice (retry once) -> its row keeps NULL and is filtered (O-17).
     assert out == {"Acme": [("Seed", "01/21", 5, "$")]}
     assert res.rejected.count() == 1
+
+
+def test_rejects_keep_the_whole_reply(spark):
+    articles = spark.createDataFrame([("https://n/1", "T", "A", "2024", "c")], "url string, title string, author string, publication_date string, content string")
+    reply = '{"company_name": "' + "x" * 5000  # cut off by the model
+    companies, rejected = pipeline.extract_companies(articles, lambda row: (reply, 1))
+    assert companies.count() == 0 and [(r.url, r.error, r.reply) for r in rejected.collect()] == [("https://n/1", "unparseable reply", reply)]
+    known = spark.createDataFrame([("u1", "Acme")], "uuid string, company_name string")
+    _, rejected = pipeline.add_funding(known, lambda row: (reply, 1))
+    assert [(r.uuid, r.reply) for r in rejected.collect()] == [("u1", reply)]

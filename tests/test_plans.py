@@ -5,7 +5,7 @@ only the element columns it needs."""
 from fundlake.operators.reconcile import reconcile_funding
 from fundlake.plans.views import funding_raw
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _plan(df) -> str:

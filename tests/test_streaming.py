@@ -6,7 +6,7 @@ from fundlake.operators import html_extract as H
 from fundlake.session import scratch_path
 from fundlake.streaming.landing import articles_stream, land_articles, read_landed_pages
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_land_articles_available_now(spark):

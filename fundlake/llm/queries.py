@@ -16,6 +16,7 @@ from fundlake.llm.nbsvm_quality import op10_nbsvm_quality
 from fundlake.llm.ppm_langid import op7_ppm_langid
 from fundlake.llm.raking import op2_raking
 from fundlake.llm.spaced_seeds import op6_spaced_seeds
+from fundlake.llm.token_alignment import op13_token_alignment
 from fundlake.llm.token_store import op9_token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_paths": op8_host_paths,
     "op9_token_store": op9_token_store,
     "op10_nbsvm_quality": op10_nbsvm_quality,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlake.llm import raking, spaced_seeds
+from fundlake.llm import raking, spaced_seeds, url_rules
 from fundlake.llm.context_tree import op1_context_tree
 from fundlake.llm.cross_polytope import op3_cross_polytope
 from fundlake.llm.fast_sketch_dedup import op4_fast_sketch_dedup
@@ -18,6 +18,7 @@ from fundlake.llm.raking import op2_raking
 from fundlake.llm.spaced_seeds import op6_spaced_seeds
 from fundlake.llm.token_alignment import op13_token_alignment
 from fundlake.llm.token_store import op9_token_store
+from fundlake.llm.url_rules import op11_url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree": op1_context_tree,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_paths": op8_host_paths,
     "op9_token_store": op9_token_store,
     "op10_nbsvm_quality": op10_nbsvm_quality,
+    "op11_url_rules": op11_url_rules,
     "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
     "op2_raking": raking.oracle(),
     "op6_spaced_seeds": spaced_seeds.oracle(),
+    "op11_url_rules": url_rules.oracle(),
 }

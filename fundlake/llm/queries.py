@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlake.llm import raking, spaced_seeds, url_rules
+from fundlake.llm import dual_tree, raking, spaced_seeds, url_rules
 from fundlake.llm.context_tree import op1_context_tree
 from fundlake.llm.cross_polytope import op3_cross_polytope
+from fundlake.llm.dual_tree import op12_dual_tree
 from fundlake.llm.fast_sketch_dedup import op4_fast_sketch_dedup
 from fundlake.llm.host_paths import op8_host_paths
 from fundlake.llm.mil_toxicity import op5_mil_toxicity
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_store": op9_token_store,
     "op10_nbsvm_quality": op10_nbsvm_quality,
     "op11_url_rules": op11_url_rules,
+    "op12_dual_tree": op12_dual_tree,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op2_raking": raking.oracle(),
     "op6_spaced_seeds": spaced_seeds.oracle(),
     "op11_url_rules": url_rules.oracle(),
+    "op12_dual_tree": dual_tree.oracle(),
 }

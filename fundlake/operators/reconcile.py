@@ -4,18 +4,19 @@ Input: one row per (company, article) with the model's funding list as JSON
 text. Output: one row per company holding its first row's columns and the
 merged round list. Everything is built-in Spark; the plan is
 
-    scan -> try_parse_json -> row checks -> posexplode -> scalar normalisation
-         -> phase A: partial aggregate per (company, round) = first dated position
-         -> phase B: size-checked join back, partial aggregate per (company, round)
+    scan -> try_parse_json -> row checks -> posexplode_outer -> scalar normalisation
+         -> summaries per (company, round, block of rows), folded (``summaries``)
          -> per-company list (at most one entry per vocabulary name)
          -> join with the first row per company (min_by, partial aggregate)
 
-Both aggregates combine map-side, so a company holding a large share of all
-rows never lands whole in one task.
+The JSON is parsed once: elements, first rows and quarantine are read from one
+table. No (company, round) is folded in one piece, so a company holding a large
+share of all rows never lands whole in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions import dates, variant
 from fundlake.functions import sql as S
-from fundlake.operators.joins import checked_join
+from fundlake.operators.summaries import SEGMENT_BITS, merged_rounds, summarize
 from fundlake.session import materialize
 from fundlake.schemas import SCHEMA_ECHO_COLUMNS, UNKNOWN_ROUND
 
@@ -38,13 +39,6 @@ class Reconciled:
     quarantine: DataFrame  # rows / elements the original would abort on, with reason
 
 
-# Element order key: row order and array position packed into one exact
-# DECIMAL(38,0) so aggregates over it stay hash-based (a struct would force a
-# sort-based aggregate). Exact for row_ord < 1e29 and positions < 1e9.
-_POS_SPAN = 10**9
-ORD_TYPE = "decimal(38,0)"
-
-
 # The element fields the stage reads, decoded in one cast.
 ELEMENT_STRUCT = (
     "struct<type:variant,properties:variant,round_name:variant,"
@@ -52,10 +46,6 @@ ELEMENT_STRUCT = (
 )
 
 
-def element_ord(row_ord: Column, pos: Column) -> Column:
-    return (row_ord.cast(ORD_TYPE) * F.lit(_POS_SPAN) + pos).cast(ORD_TYPE)
-
-
 def classify_rows(df: DataFrame, rounds_col: str = "funding_rounds") -> DataFrame:
     """Add ``__arr`` (ARRAY<VARIANT>) and ``__status`` per input row.
 
@@ -81,25 +71,28 @@ def classify_rows(df: DataFrame, rounds_col: str = "funding_rounds") -> DataFram
     return staged.withColumn("__status", status).drop("__v", "__t")
 
 
-def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw: bool = False) -> DataFrame:
+def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw: bool = False, carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per array element with its fields decoded and checked.
 
-    Columns: key, row_ord, pos, ord, kept, bad (reason or NULL), round_name,
+    Columns: key, row_ord, pos, kept, bad (reason or NULL), round_name,
     date (MM/YY or NULL), famt (BIGINT), cur. Built in stages so every VARIANT
-    type is derived once and the generated code stays small.
+    type is derived once and the generated code stays small. ``carry`` adds
+    columns of the row; rows without an element then stay, with a null ``pos``.
     """
     # Validity gates the generator instead of a Filter: a Filter on parse
     # results would be pushed below the parse into the scan and re-run it.
+    explode = F.posexplode if carry is None else F.posexplode_outer
     ex = classified.select(
         F.col(key),
         F.col(order_col).alias("row_ord"),
-        F.posexplode(F.when(F.col("__status") == OK, F.col("__arr"))).alias("pos", "e"),
+        *[c.alias(n) for n, c in (carry or {}).items()],
+        explode(F.when(F.col("__status") == OK, F.col("__arr"))).alias("pos", "e"),
     )
-    k = f"`{key}`"
+    k = [f"`{c}`" for c in [key, *(carry or {})]]
     # One VARIANT -> struct cast decodes every field (NULL for a non-object).
-    ex = ex.selectExpr(k, "row_ord", "pos", "e", f"try_variant_get(e, '$', '{ELEMENT_STRUCT}') AS f")
+    ex = ex.selectExpr(*k, "row_ord", "pos", "e", f"try_variant_get(e, '$', '{ELEMENT_STRUCT}') AS f")
     ex = ex.selectExpr(
-        k, "row_ord", "pos", "e", "f IS NOT NULL AS is_obj", "f.type AS type_v", "f.properties AS props_v",
+        *k, "row_ord", "pos", "e", "f IS NOT NULL AS is_obj", "f.type AS type_v", "f.properties AS props_v",
         "f.round_name AS rn_v", "f.date AS date_v", "f.amount AS amt_v", "f.currency_symbol AS cur_v",
     )
     ex = ex.selectExpr(
@@ -112,10 +105,9 @@ def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw:
     bad_name = f"(rn_v IS NOT NULL AND NOT {rn_is_str} AND ({S.truthy('rn_v', 'rn_t')}))"
     ex = ex.selectExpr("*", f"{echo} AS echo", f"{bad_name} AS bad_name")
     ex = ex.selectExpr(
-        k, "row_ord", "pos",
-        f"CAST(CAST(row_ord AS {ORD_TYPE}) * {_POS_SPAN} + pos AS {ORD_TYPE}) AS ord",
+        *k, "row_ord", "pos",
         "is_obj AND NOT echo AS kept",
-        f"""CASE WHEN NOT is_obj THEN 'element_not_object' WHEN echo THEN NULL
+        f"""CASE WHEN pos IS NULL THEN NULL WHEN NOT is_obj THEN 'element_not_object' WHEN echo THEN NULL
                  WHEN bad_name THEN 'round_name_not_text'
                  WHEN {S.amount_out_of_range('amt_v', 'amt_k')} THEN 'amount_out_of_range' END AS bad""",
         f"CASE WHEN {rn_is_str} THEN try_variant_get(rn_v, '$', 'string') END AS rn_s",
@@ -135,14 +127,7 @@ def explode_elements(classified: DataFrame, key: str, order_col: str, keep_raw:
     return out.drop("date_s", "raw_name", "amt_k")
 
 
-def funding_elements(classified: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Kept, well-formed elements: key, ord, round_name, date, famt, cur."""
-    return explode_elements(classified, key, order_col).where(
-        F.col("kept") & F.col("bad").isNull()
-    ).select(key, "ord", "round_name", "date", "famt", "cur")
-
-
-def merge_rounds(elements: DataFrame, key: str, **join_opts) -> DataFrame:
+def merge_rounds(elements: DataFrame, key: str, bits: Sequence[int] = SEGMENT_BITS) -> DataFrame:
     """O-55: merge a company's rounds by normalised name.
 
     For each (company, name): k = first position whose date normalises to a
@@ -150,29 +135,7 @@ def merge_rounds(elements: DataFrame, key: str, **join_opts) -> DataFrame:
     max(0, floored amounts at positions >= k); currency = first non-null at
     positions >= k. Names with no dated round disappear.
     """
-    groups = [key, "round_name"]
-    firsts = (
-        elements.groupBy(*groups)
-        .agg(
-            F.min(F.when(F.col("date").isNotNull(), F.col("ord"))).alias("k"),
-            F.count(F.lit(1)).alias("weight"),
-        )
-        .where(F.col("k").isNotNull())
-    )
-    tail = checked_join(
-        elements,
-        firsts,
-        groups,
-        weight_col="weight",
-        salt_source=F.col("ord"),
-        **join_opts,
-    ).where(F.col("ord") >= F.col("k"))
-    return tail.groupBy(*groups).agg(
-        F.min("k").alias("k"),
-        F.min_by(F.col("date"), F.col("ord")).alias("date"),
-        F.greatest(F.max("famt"), F.lit(0).cast("bigint")).alias("amount"),
-        F.min_by(F.col("cur"), F.when(F.col("cur").isNotNull(), F.col("ord"))).alias("currency_symbol"),
-    )
+    return merged_rounds(summarize(elements, key, bits))
 
 
 def round_lists(merged: DataFrame, key: str) -> DataFrame:
@@ -191,19 +154,10 @@ def round_lists(merged: DataFrame, key: str) -> DataFrame:
     )
 
 
-def first_rows(classified: DataFrame, key: str, order_col: str, rounds_col: str) -> DataFrame:
-    """O-53: the first valid row (by ``order_col``) of each company, nulls
-    included. Validity enters as a NULL ordering (ignored by ``min_by``) so no
-    Filter on parse results is pushed below the parse."""
-    others = [c for c in classified.columns if c not in (key, rounds_col) and not c.startswith("__")]
-    valid_ord = F.when(F.col("__status") == OK, F.col(order_col))
-    picked = F.min_by(F.struct(*[F.col(c) for c in others]), valid_ord).alias("__first")
-    return (
-        classified.groupBy(key)
-        .agg(picked, F.max(valid_ord).alias("__any"))
-        .where(F.col("__any").isNotNull())
-        .select(key, *[F.col(f"__first.{c}").alias(c) for c in others])
-    )
+def first_rows(rows: DataFrame, key: str, others: Sequence[str]) -> DataFrame:
+    """O-53: the first row (by ``row_ord``) of each company, nulls included."""
+    picked = F.min_by("row", "row_ord").alias("row")
+    return rows.groupBy(key).agg(picked).select(key, *[F.col(f"row.{c}").alias(c) for c in others])
 
 
 def reconcile_funding(
@@ -213,42 +167,41 @@ def reconcile_funding(
     rounds_col: str = "funding_rounds",
     drop_columns: tuple[str, ...] = SCHEMA_ECHO_COLUMNS,
     materialize_elements: bool = True,
-    **join_opts,
+    bits: Sequence[int] = SEGMENT_BITS,
 ) -> Reconciled:
     """Reconcile duplicate funding rounds per company (the step-3 stage).
 
-    ``order_col`` must give the input row order (the original relies on file
-    order, which Spark does not keep). Rows with a null key are dropped as a
-    group-by on a null key does; rows the original would abort on go to
-    ``quarantine`` instead.
+    ``order_col`` (a whole number) must give the input row order (the original
+    relies on file order, which Spark does not keep). Rows with a null key are
+    dropped as a group-by on a null key does; rows the original would abort on
+    go to ``quarantine`` instead. With ``materialize_elements`` the parsed
+    elements are written once to the shared folder and all three results read
+    them; without, each result parses the rows itself.
     """
     base = df.where(F.col(key).isNotNull())
     classified = classify_rows(base, rounds_col)
-
-    exploded = explode_elements(classified, key, order_col)
-    # Normalised elements are written once to the shared folder: both merge
-    # phases read them (the JSON parse and date cascade run once), and the
-    # lineage is cut there, so a lost executor does not re-run the parse.
-    elements = exploded.where(F.col("kept") & F.col("bad").isNull()).select(
-        key, "ord", "round_name", "date", "famt", "cur"
-    )
-    bound = None
+    others = [c for c in df.columns if c not in (key, rounds_col)]
+    rejected = ~F.col("__status").isin(OK, NULL_CELL)
+    parsed = explode_elements(classified, key, order_col, carry={
+        "status": F.col("__status"),
+        "cell": F.when(rejected, F.col(rounds_col)),
+        "row": F.struct(*[F.col(c) for c in others]),
+    })
+    # The row's own columns stand with its first element only.
+    first = F.coalesce("pos", F.lit(0)) == 0
+    parsed = parsed.withColumn("row", F.when(first, F.col("row")))
     if materialize_elements:
-        elements = materialize(elements, "funding-elements")
-        # Phase A has at most one row per element: a proven broadcast bound.
-        bound = elements.count()
-        join_opts.setdefault("upper_bound_rows", bound)
-    merged = merge_rounds(elements, key, **join_opts)
-    lists = round_lists(merged, key)
+        parsed = materialize(parsed, "funding-elements")
+    elements = parsed.where(F.col("kept") & F.col("bad").isNull())
+    lists = round_lists(merge_rounds(elements, key, bits), key)
 
-    firsts = first_rows(classified, key, order_col, rounds_col)
     companies = (
-        firsts.join(lists, key, "left")
+        first_rows(parsed.where(first & (F.col("status") == OK)), key, others).join(lists, key, "left")
         .withColumn(
             "funding_rounds",
             F.coalesce(F.col("funding_rounds"), F.array().cast(lists.schema["funding_rounds"].dataType)),
         )
-        .drop(*[c for c in drop_columns if c in firsts.columns])
+        .drop(*[c for c in drop_columns if c in others])
     )
     flat = lists.select(key, F.posexplode("funding_rounds").alias("pos", "r")).select(
         F.col(key),
@@ -258,12 +211,10 @@ def reconcile_funding(
         F.col("r.amount").alias("amount"),
         F.col("r.currency_symbol").alias("currency_symbol"),
     )
-    bad_rows = classified.where(~F.col("__status").isin(OK, NULL_CELL)).select(
-        F.col(key), F.col(order_col).alias("row_ord"), F.lit(None).cast("int").alias("pos"),
-        F.col(rounds_col).alias("value"), F.col("__status").alias("reason"),
+    bad_rows = parsed.where(~F.col("status").isin(OK, NULL_CELL)).select(
+        F.col(key), "row_ord", F.lit(None).cast("int").alias("pos"), F.col("cell").alias("value"), F.col("status").alias("reason"),
     )
-    bad_elements = exploded.where(F.col("bad").isNotNull()).select(
+    bad_elements = parsed.where(F.col("bad").isNotNull()).select(
         F.col(key), "row_ord", "pos", F.col("element").alias("value"), F.col("bad").alias("reason")
     )
-    quarantine = bad_rows.unionByName(bad_elements)
-    return Reconciled(companies=companies, rounds=flat, quarantine=quarantine)
+    return Reconciled(companies=companies, rounds=flat, quarantine=bad_rows.unionByName(bad_elements))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.operators import reconcile as R
-from fundlake.plans.views import funding_raw
+from fundlake.plans.views import funding_raw, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,7 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> R.Reconciled:
 
 def q_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-38, O-49, O-51, O-52..O-58: the reconciliation stage, flat output."""
-    return _reconciled(spark, sf_dir).rounds
+    return R.reconcile_funding(funding_raw(spark, sf_dir), materialize_elements=False).rounds
 
 
 def q_company_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ def q_amount_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-64, O-36, O-61: reconciled amount per funding year, in millions."""
     from fundlake.operators.analytics import amount_by_year
 
-    return amount_by_year(_reconciled(spark, sf_dir).rounds)
+    elements = _elements(spark, sf_dir)
+    return amount_by_year(R.merge_rounds(elements, "company_name"))
 
 
 def _elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +222,7 @@ def responses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     the trailing extra brace, tool calls and unparseable text."""
     from fundlake.plans.views import table
 
-    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
     i = F.col("event_id") % 6
     p = F.col("props")
     raw = (

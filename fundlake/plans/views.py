@@ -28,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(narrow: DataFrame, key: str) -> DataFrame:
+    """The raw rows dealt over the session's shuffle partitions by a unique key.
+
+    A file of one row group is one scan task whatever the split size, and all work
+    before the next exchange would stay in it. The views deal their few raw columns
+    unconditionally, at every size, before the wide parse."""
+    return narrow.repartition(int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _pick(index: Column, values: tuple[str, ...] | list[Column]) -> Column:
     """CASE index WHEN 0 THEN values[0] ... (index already reduced)."""
     expr = None
@@ -71,7 +80,7 @@ def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     One row per order; the company is the ordering customer, so each company
     has several rows whose rounds must be reconciled.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     # Built as SQL expressions (one JVM call per stage); staged so each piece
     # is computed once per row.

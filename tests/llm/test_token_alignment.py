@@ -1,11 +1,14 @@
 """op13 against direct sums over whole documents, without windows or memo."""
 
 import hashlib
+import json
 import random
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from fundlake.llm import token_alignment as T
 from sf_dirs import SF_SMALL
@@ -17,12 +20,19 @@ def sides():
     return T.ByteLevel(a), T.Pieces(b)
 
 
+@lru_cache
+def library():
+    tokenizer = Tokenizer.from_file(T.tokenizer_paths()[0])
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 def plain_alignment(sides, text):
     """(ids a, ids b, groups, links) of one text by whole-text encoding and set intersection."""
     a, b = sides
     if not text:
         return [], [], "", []
-    ids_a = a.tokenizer.encode(" " + text, add_special_tokens=False).ids
+    ids_a = library().encode(" " + text, add_special_tokens=False).ids
     ids_b = b.model.encode(text)
     whole = (" " + text).encode()
     if b"".join(a.pieces[i] for i in ids_a) != whole or b"".join(b.pieces[i] for i in ids_b) != whole:
@@ -118,3 +128,22 @@ def test_pairs_that_end_together_stay_below_the_bound(sides):
     pairs += sum(of_b[p[i:]] for p in a.pieces for i in range(1, len(p)))
     assert pairs <= T.pair_bound(a, b) < 3_000_000
     assert int(np.iinfo(np.int64).max) > len(a.pieces) * len(b.pieces)
+
+
+def test_every_code_point_has_the_library_s_ids(sides):
+    """The file's ranks and the library split alike around every fourth code point."""
+    a = sides[0]
+    assert a.plain
+    points = [c for c in range(0, 0x30000, 4) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 4096):
+        texts = [f" a{c}b {c}{c} 1{c}2  {c} .{c}!\n{c}" for c in map(chr, points[at : at + 4096])]
+        assert a.encode(texts) == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_files_are_encoded_by_their_library(sides, tmp_path):
+    held = json.loads(open(T.tokenizer_paths()[0], encoding="utf-8").read())
+    held["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(held), encoding="utf-8")
+    other = T.ByteLevel(str(path))
+    assert not other.plain and other.encode([" A b"]) == sides[0].encode([" a b"])

@@ -53,8 +53,9 @@ TOKENIZER_B = "piece_bpe_32k.model"
 #: Texts of one encoding call, in bytes; a text's parts, in characters.
 SLICE_BYTES = 1 << 18
 PART_CHARS = 1 << 16
-#: Bytes of ids and results that a task's memo may hold.
-MEMO_BYTES = 48 << 20
+#: Bytes of ids and results that a task's memo may hold, and of an entry's objects.
+MEMO_BYTES = 96 << 20
+ENTRY_BYTES = 340
 
 #: A place no token of either side crosses.
 _CUT = re.compile(r"(?<=[A-Za-z0-9.,;:!?)\]]) (?=[A-Za-z])")
@@ -197,34 +198,39 @@ class Aligner:
         self.memo: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
         self.held = 0
         self.sizes_a, self.sizes_b = a.lengths.tolist(), b.lengths.tolist()
+        self.names_a, self.names_b = ([f"{i}," for i in range(len(s.pieces))] for s in (a, b))
 
-    def window(self, ids_a: bytes, ids_b: bytes) -> tuple[str, bytes]:
-        """The groups (text) and links (codes) of one window of 32-bit ids."""
-        found = self.memo.get((ids_a, ids_b))
+    def window(self, ids: tuple[bytes, bytes]) -> tuple[str, bytes]:
+        """The groups (text) and links (codes) of one window: its 32-bit A and B ids."""
+        found = self.memo.get(ids)
         if found is None:
-            found = self._align(memoryview(ids_a).cast("i").tolist(), memoryview(ids_b).cast("i").tolist())
-            size = 400 + len(ids_a) + len(ids_b) + len(found[0]) + len(found[1])
+            found = self._align(memoryview(ids[0]).cast("i").tolist(), memoryview(ids[1]).cast("i").tolist())
+            size = ENTRY_BYTES + len(ids[0]) + len(ids[1]) + len(found[0]) + len(found[1])
             if self.held + size > self.memo_bytes:
                 self.memo.clear()
                 self.held = 0
             if size <= self.memo_bytes:
-                self.memo[ids_a, ids_b] = found
+                self.memo[ids] = found
                 self.held += size
         return found
 
     def _align(self, a: list[int], b: list[int]) -> tuple[str, bytes]:
-        groups, codes, i, j, x, y = [], [], 0, 0, 0, 0
-        end_a = end_b = 0
-        while x < len(a):
-            end_a += self.sizes_a[a[x]]
-            x += 1
+        sizes_a, sizes_b, names_a, names_b = self.sizes_a, self.sizes_b, self.names_a, self.names_b
+        groups, codes = [], []
+        end_a = end_b = y = 0
+        text_a = text_b = ""
+        for t in a:
+            end_a += sizes_a[t]
+            text_a += names_a[t]
             while end_b < end_a:
-                end_b += self.sizes_b[b[y]]
+                u = b[y]
                 y += 1
+                end_b += sizes_b[u]
+                text_b += names_b[u]
             if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[i:x]))};{','.join(map(str, b[j:y]))}")
-                codes.append(a[x - 1] * len(self.sizes_b) + b[y - 1])
-                i, j = x, y
+                groups.append(text_a[:-1] + ";" + text_b[:-1])
+                codes.append(t * len(sizes_b) + u)
+                text_a = text_b = ""
         return "|".join(groups), struct.pack(f"<{len(codes)}q", *codes)
 
     def document(self, a: np.ndarray, b: np.ndarray) -> Aligned:
@@ -247,10 +253,9 @@ class Aligner:
         if not first_a.size or first_a[0] > 0 or first_b[0] > 0:  # the document begins without an anchor
             cuts_a.insert(0, 0)
             cuts_b.insert(0, 0)
-        raw_a, raw_b, window = a.tobytes(), b.tobytes(), self.window
-        found = [
-            window(raw_a[i:x], raw_b[j:y]) for i, x, j, y in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])
-        ]
+        raw_a, raw_b, known, window = a.tobytes(), b.tobytes(), self.memo.get, self.window
+        windows = [(raw_a[i:x], raw_b[j:y]) for i, x, j, y in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
+        found = [known(w) or window(w) for w in windows]
         links = b"".join([f[1] for f in found])
         return Aligned(len(a), len(b), len(links) // 8, "|".join([f[0] for f in found]), links)
 

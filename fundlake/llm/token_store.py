@@ -6,45 +6,50 @@ range-partitioned by id, every partition writes shards of at most
 :data:`SHARD_TOKENS` tokens (plus one document) into the shared folder, and
 the files are read back with Spark's own file reader.
 
-Words are encoded once per worker as long as a bounded cache
-(:data:`CACHE_WORDS`) holds them. The tokenizer treats stretches between white
-space separately, and splits a run of letters from the ASCII marks behind it, so a
-document's ids are its words' ids in order. Words outside this simple form are
-encoded as they stand.
+The tokenizer lower-cases, splits a text at white space and between runs of letters, single
+digits and runs of other marks, and merges bytes within these parts only, so a document's ids
+are its words' ids in order. The distinct words of a slice are encoded together: words of
+plain letters, digits and marks as one run of parts by their merge ranks, the others as
+they stand by the tokenizer. Nothing is kept from slice to slice.
 
 A shard's name has the partition and the number within it; a task that runs
 again writes the same bytes under the same name.
 
 Defined results: null and empty texts hold the end id only; repeated rows are
-encoded again each, in the order of id and then text; null ids come first; no
+encoded again each, in the order of id, the text's hash and the text; null ids come first; no
 rows give no shards and no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import Tokens, read_table, text_slices
+from fundlake.llm.token_alignment import byte_level_alphabet
 from fundlake.llm.wavelet import WaveletMatrix, encode_shard
-from fundlake.session import scratch_path
+from fundlake.session import materialize, scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-CACHE_WORDS = 200_000
 
-#: Letters with one code point that normalisation leaves alone, then ASCII marks
-#: other than the apostrophe: the tokenizer splits between the two.
-_SIMPLE = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+#: Parts of words that normalisation leaves alone: letters of one code point, single
+#: digits, ASCII marks other than the apostrophe (which begins endings such as 's).
+_LETTERS, _MARKS = "a-zß-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = f"^[{_LETTERS}0-9{_MARKS}]+$"
+_PART = f"([{_LETTERS}]+|[0-9]|[{_MARKS}]+)"
+#: Ends a part; no plain word holds it.
+_MARK = "\x00"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -54,36 +59,66 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordEncoder:
-    """Token ids of words, with a bounded cache."""
+    """Token ids of words.
+
+    An entry ends its word if it has the file's end suffix. With a mark byte for that
+    suffix, merging by rank of the joined bytes gives the file's ids: the mark goes to the
+    last byte first, since entries of one byte have the lowest ranks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _fill(self, parts: set[str]) -> None:
-        missing = [p for p in parts if p not in self.cache]
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = list(parts)
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            for part, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.cache[part] = np.array(found.ids, np.uint32)
-
-    def words(self, words: list[str]) -> list[tuple[np.ndarray, ...]]:
-        """For each word the id arrays of its parts."""
-        split = []
-        for word in words:
-            if "<|" not in word:  # the special tokens are upper- or lower-case sensitive
-                word = word.lower() if word.isascii() else word
-            m = _SIMPLE.fullmatch(word)
-            split.append(m.groups() if m else (word,))
-        self._fill({p for parts in split for p in parts})
-        cache = self.cache
-        return [tuple(cache[p] for p in parts) for parts in split]
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        suffix, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        first = len(vocabulary) - len(merges)
+        self.ranked = bool(suffix) and all(vocabulary.get(x + y) == first + i for i, (x, y) in enumerate(merges))
+        if not self.ranked:
+            return
+        from tiktoken import Encoding
+
+        alphabet = byte_level_alphabet()
+        ranks = {}
+        for entry, rank in vocabulary.items():
+            ends = entry.endswith(suffix)
+            raw = bytes(alphabet[c] for c in entry.removesuffix(suffix))
+            if _MARK.encode() not in raw or len(raw) == 1 and not ends:
+                ranks[raw + _MARK.encode() if ends else raw] = rank
+        self.ends = np.zeros(max(ranks.values()) + 1, bool)
+        self.ends[[rank for raw, rank in ranks.items() if raw.endswith(_MARK.encode()) and len(raw) > 1]] = True
+        self._ranks = Encoding("w", pat_str=f"[^{_MARK}]+{_MARK}", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words back to back, and the offsets."""
+        lower = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        special = pc.match_substring(words, "<|")  # as the tokenizer finds its special tokens
+        plain = pc.and_not(pc.match_substring_regex(lower, _PLAIN), special).to_numpy(zero_copy_only=False)
+        if not self.ranked:
+            plain[:] = False
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        if plain.any():
+            own = lower.filter(pa.array(plain))
+            split = pc.replace_substring_regex(own, _PART, "\\1" + _MARK)
+            found = np.array(self._ranks("".join(split.to_pylist())), np.int64)
+            parts = pc.count_substring(split, _MARK).to_numpy(zero_copy_only=False)
+            ends = np.flatnonzero(self.ends[found]) + 1
+            sizes[plain] = np.diff(ends[np.cumsum(parts) - 1], prepend=0)
+            ids.append(found)
+        others = words.filter(pa.array(~plain)).to_pylist()
+        for at in range(0, len(others), 4096):
+            found = [e.ids for e in self.tokenizer.encode_batch(others[at : at + 4096], add_special_tokens=False)]
+            sizes[np.flatnonzero(~plain)[at : at + 4096]] = [len(f) for f in found]
+            ids.append(np.array([i for f in found for i in f], np.int64))
+        # Plain words' ids, then the others': back to the order of the words.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        data = np.concatenate([np.zeros(0, np.int64), *ids])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        return data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])].astype(np.uint32), offsets
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -93,22 +128,17 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts back to back, the end id behind each, and the offsets."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    encoder = _ENCODERS[path]
     tokens = Tokens(texts, lower=False)
-    parts = encoder.words(tokens.words.to_pylist())
-    flat = [p for word in parts for p in word]
-    flat.append(np.array([END_ID], np.uint32))
-    data = np.concatenate(flat)
-    sizes = np.array([sum(map(len, word)) for word in parts] + [1], np.int64)
-    starts = np.cumsum(sizes) - sizes
+    data, starts = _ENCODERS[path].words(tokens.words)
     # Every document's words, then the end mark as one more word.
-    codes = np.insert(tokens.codes, tokens.offsets[1:], len(parts))
+    data, starts = np.append(data, np.uint32(END_ID)), np.append(starts, starts[-1] + 1)
+    codes = np.insert(tokens.codes, tokens.offsets[1:], len(starts) - 2)
     offsets = tokens.offsets + np.arange(len(tokens.offsets))
-    length = sizes[codes]
+    length = np.diff(starts)[codes]
     ends = np.cumsum(length)
-    from_ = np.repeat(starts[codes] - (ends - length), length)
-    ids = data[from_ + np.arange(len(from_))]
-    return ids, np.concatenate([[0], ends])[offsets]
+    at = np.repeat(starts[codes] - (ends - length), length)
+    at += np.arange(len(at))
+    return data[at], np.concatenate([[0], ends])[offsets]
 
 
 def local_path(folder: str) -> str | None:
@@ -135,19 +165,22 @@ def write_file(folder: str, name: str, data: bytes) -> None:
             out.write(data)
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int) -> int:
-    """Write the shards of ``docs`` (doc_id, text) in id order; returns their number."""
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int) -> DataFrame:
+    """Write the shards of ``docs`` (doc_id, text) in the order of id, hash and text; returns
+    (part, shard, size): one row per shard with its number of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
-        ids, names, sizes, held, number = [], [], [], 0, 0
+        ids, names, sizes, held, written = [], [], [], 0, []
 
         def flush() -> None:
-            nonlocal ids, names, sizes, held, number
+            nonlocal ids, names, sizes, held
             if names:
                 blob = encode_shard(np.concatenate(ids), np.concatenate(names), np.concatenate(sizes))
-                write_file(folder, f"shard-{partition:06d}-{number:06d}.wm", blob)
-                ids, names, sizes, held, number = [], [], [], 0, number + 1
+                shard = f"shard-{partition:06d}-{len(written):06d}.wm"
+                write_file(folder, shard, blob)
+                written.append((shard, held))
+                ids, names, sizes, held = [], [], [], 0
 
         for part in text_slices(batches, "text", 4 << 20):
             found, offsets = encode_texts(part.column("text"), tokenizer)
@@ -164,17 +197,33 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int)
                 if held >= SHARD_TOKENS or last < len(keys):
                     flush()
         flush()
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64())], names=["shards"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([partition] * len(written), pa.int64()), pa.array([w[0] for w in written], pa.string()),
+             pa.array([w[1] for w in written], pa.int64())], names=["part", "shard", "size"])
 
-    ordered = docs.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, "shards bigint").agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
+    # Rows of one id go by their text's hash, so that no id is one task.
+    hashed = docs.withColumn("_h", F.xxhash64("text"))
+    ordered = hashed.repartitionByRange(partitions, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").drop("_h")
+    return materialize(ordered.mapInArrow(run, "part bigint, shard string, size bigint"), "token-shard-sizes")
 
 
 #: Stands for a null id in a shard's list of ids.
 NO_ID = -(1 << 63)
 
 
-def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+def shard_starts(sizes: DataFrame) -> DataFrame:
+    """(shard, before): the ids of all shards before each. Sums within a writing task, then
+    over the tasks (one row each)."""
+    parts = sizes.groupBy("part").agg(F.sum("size").alias("of_part"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    earlier_parts = earlier.orderBy("part")
+    parts = parts.select("part", F.coalesce(F.sum("of_part").over(earlier_parts), F.lit(0)).alias("parts_before"))
+    within = earlier.partitionBy("part").orderBy("shard")
+    own = sizes.select("part", "shard", F.coalesce(F.sum("size").over(within), F.lit(0)).alias("own_before"))
+    return own.join(parts, "part").select("shard", (F.col("own_before") + F.col("parts_before")).alias("before"))
+
+
+def read_shards(spark: SparkSession, folder: str, sizes: DataFrame) -> DataFrame:
     """Per document from the files: doc_id, start, n_tokens, ids_crc32 (and shard, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,12 +245,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.wm").load(folder).select("path", "content")
     rows = files.mapInArrow(run, "shard string, place bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-    # Ids of all shards before: one small row per shard.
-    sizes = rows.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
-    before = sizes.select(
-        "shard", F.coalesce(F.sum("size").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
-    )
-    return rows.join(before, "shard").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    return rows.join(shard_starts(sizes), "shard").withColumn("start", F.col("start") + F.col("before")).drop("before")
 
 
 STORED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard string, place bigint"
@@ -212,9 +256,10 @@ def store_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str | None = N
     folder = scratch_path(spark, "token-shards")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    if not write_shards(docs, folder, tokenizer or tokenizer_path(), partitions):
+    sizes = write_shards(docs, folder, tokenizer or tokenizer_path(), partitions)
+    if sizes.isEmpty():
         return spark.createDataFrame([], STORED)
-    return read_shards(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "place")
+    return read_shards(spark, folder, sizes).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "place")
 
 
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,6 +173,28 @@ def test_token_store_equals_the_tokenizer(spark, odd_documents):
         start += len(ids)
 
 
+def test_words_by_rank_equal_the_tokenizer():
+    """Every entry of the file and random plain, odd and accented words."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = token_store.tokenizer_path()
+    tokenizer, encoder = Tokenizer.from_file(path), token_store.WordEncoder(path)
+    assert encoder.ranked
+    alphabet = token_store.byte_level_alphabet()
+    with open(path, encoding="utf-8") as f:
+        entries = [bytes(alphabet[c] for c in e.removesuffix("</w>")).decode("utf-8", "replace") for e in json.load(f)["model"]["vocab"]]
+    rng = random.Random(6)
+    marks = "aAbcdeéßüöñÿçtheingon019'!?.,-_<|>&#\u2019日本ﬁ́\x00\x01"
+    words = [e for e in entries if e.split() == [e]]
+    words += ["".join(rng.choices(marks, k=rng.randint(1, 14))) for _ in range(20_000)]
+    words += ["".join(rng.choices("aeiounrstlhdcm", k=rng.randint(1, 18))) for _ in range(20_000)]
+    ids, offsets = encoder.words(pa.array(words, pa.large_string()))
+    expected = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+
+
 def test_ppm_code_lengths_against_byte_loops():
     model = ppm_langid.PpmModel({"a": ["the cat then the hat"], "b": ["der hut und der hund"]})
     samples = {"a": "the cat then the hat", "b": "der hut und der hund"}

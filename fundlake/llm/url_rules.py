@@ -164,7 +164,8 @@ def rule_index(rules: DataFrame, urls: DataFrame) -> DataFrame:
     fewest of ``urls`` (``canon``) hold; at equal counts the longest, then the smallest."""
     rows = rules.select("rule", "action", "kind", "regex", F.explode("tokens").alias("token"))
     held = urls.select(F.explode(url_tokens(F.col("canon"))).alias("token"))
-    counts = held.join(rows.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # The rules are a list in the driver's memory, which bounds what is broadcast here.
+    counts = held.join(F.broadcast(rows.select("token").distinct()), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarity = F.struct(F.coalesce("n", F.lit(0)), -F.length("token"), F.col("token"))
     return rows.join(counts, "token", "left").groupBy("rule", "action", "kind", "regex").agg(F.min_by("token", rarity).alias("token"))
 
@@ -175,7 +176,7 @@ def matching_rules(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     fits = F.regexp_like(F.col("canon"), F.col("regex"))
     index = materialize(rule_index(rules_table(spark, [r for r in rules if r.tokens]), urls), "rule-index")
     tokens = urls.select("_url", "canon", F.explode(url_tokens(F.col("canon"))).alias("token"))
-    found = tokens.join(index, "token").where(fits).select("_url", "rule", "action", "kind")
+    found = tokens.join(F.broadcast(index), "token").where(fits).select("_url", "rule", "action", "kind")
     bare = [F.struct(*[F.lit(v).alias(n) for n, v in (("rule", r.text), ("action", r.action), ("kind", r.kind), ("regex", r.regex))])
             for r in rules if not r.tokens]
     if bare:  # a stated set of rules, run against every URL

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions import variant
+from fundlake.functions.repair import repair_json
 from fundlake.functions.text import contains_ci, ustrip
 from fundlake.schemas import FINAL_ANSWER_MARKER
 
@@ -56,7 +57,11 @@ def unwrap_envelope(output_json: Column) -> Column:
 
 def with_classified_response(df: DataFrame, text_col: str) -> DataFrame:
     """O-42 + O-43 + O-41 as staged columns (each parse happens once): adds
-    kind, output, tool, tool_input and ``obj`` (the unwrapped VARIANT)."""
+    kind, output, tool, tool_input and ``obj`` (the unwrapped VARIANT).
+
+    A final answer or tool call that the one-brace rule leaves unreadable (cut
+    off, or with text behind it) is closed and trimmed by ``repair_json``;
+    ``repaired`` says so."""
     staged = df.withColumn("__t", ustrip(F.col(text_col)))
     t = F.col("__t")
     staged = staged.withColumns({
@@ -64,23 +69,32 @@ def with_classified_response(df: DataFrame, text_col: str) -> DataFrame:
         "__tail": F.element_at(F.split(t, FINAL_ANSWER_MARKER, -1), -1),
     })
     staged = staged.withColumns({
-        "__parsed": F.when(~F.col("__final"), F.try_parse_json(t)),
+        "__whole": F.when(~F.col("__final"), F.try_parse_json(t)),
         "__cut": F.when(F.col("__final"), ustrip(F.substring("__tail", F.lit(1), F.length("__tail") - 1))),
     })
+    staged = staged.withColumn("__cut_v", F.try_parse_json("__cut"))
+    staged = staged.withColumn("__braced_v", F.when(F.col("__cut_v").isNull(), F.try_parse_json(F.concat("__cut", F.lit("}")))))
+    broken = (F.col("__final") & F.col("__cut_v").isNull() & F.col("__braced_v").isNull()
+              | ~F.col("__final") & F.col("__whole").isNull() & t.contains("Action Input"))
+    staged = staged.withColumn("__fixed", repair_json(F.when(broken, F.col("__tail"))))
+    staged = staged.withColumn("__fixed_v", F.try_parse_json("__fixed"))
+    staged = staged.withColumn("__parsed", F.when(~F.col("__final"), F.coalesce("__whole", "__fixed_v")))
     staged = staged.withColumns({
-        "__cut_v": F.try_parse_json("__cut"),
         "__action": F.try_variant_get("__parsed", "$.Action", "variant"),
         "__action_input": F.try_variant_get("__parsed", "$['Action Input']", "variant"),
     })
     is_tool = (~F.col("__final") & F.col("__action").isNotNull() & F.col("__action_input").isNotNull()
                & t.contains("Action Input"))
+    braced = F.concat("__cut", F.lit("}"))
     staged = staged.withColumns({
         "kind": F.when(F.col("__final"), F.lit("final")).when(is_tool, F.lit("tool")).otherwise(F.lit("unparseable")),
-        "output": F.when(F.col("__final"), F.when(F.col("__cut_v").isNull(), F.concat("__cut", F.lit("}")))
-                         .otherwise(F.col("__cut"))),
-        "__out_v": F.when(F.col("__final"), F.coalesce(F.col("__cut_v"), F.try_parse_json(F.concat("__cut", F.lit("}"))))),
+        "output": F.when(F.col("__final"), F.when(F.col("__cut_v").isNotNull(), F.col("__cut"))
+                         .when(F.col("__braced_v").isNotNull(), braced)
+                         .otherwise(F.coalesce(F.col("__fixed"), braced))),
+        "__out_v": F.when(F.col("__final"), F.coalesce("__cut_v", "__braced_v", "__fixed_v")),
         "tool": F.when(is_tool, variant.scalar_text(F.col("__action"))),
         "tool_input": F.when(is_tool, variant.scalar_text(F.col("__action_input"))),
+        "repaired": F.col("__fixed_v").isNotNull() & (F.col("__final") | is_tool),
     })
     staged = staged.withColumn("__outer", variant.field(F.col("__out_v"), "properties"))
     staged = staged.withColumn("__inner", variant.field(F.col("__outer"), "properties"))

@@ -254,6 +254,41 @@ def q_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_cut_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-42, O-43: final answers that are cut at several points or go on behind
+    their end, closed and trimmed, and what they still hold."""
+    from fundlake.operators import responses as RS
+    from fundlake.plans.views import CUT_REPLY_SQL, table
+
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    df = RS.with_classified_response(ev.select("event_id", F.expr(CUT_REPLY_SQL).alias("raw")), "raw")
+    get = lambda path, t: F.try_variant_get("obj", path, t)
+    return df.select(
+        "event_id", "kind", "repaired", get("$.event_type", "string").alias("event_type"), get("$.k", "bigint").alias("k"),
+        F.to_json(get("$.tags", "variant")).alias("tags"), get("$.note.t", "string").alias("note"),
+    )
+
+
+def q_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-44..O-47: every violation of the declared company and funding schemas
+    in landed replies, by path."""
+    from fundlake.functions.schema_rules import violations
+    from fundlake.plans.views import COMPANY_REPLY_SQL, FUNDING_REPLY_SQL, table
+    from fundlake.schemas import COMPANY_DECLARATION, FUNDING_DECLARATION
+
+    customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), "c_custkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+
+    def found(rows: DataFrame, key: str, reply: str, kind: str, declaration: dict) -> DataFrame:
+        # the generator, not a filter, leaves rows without violations out: the reply is parsed once
+        parsed = rows.select(F.col(key).alias("reply_id"), F.try_parse_json(F.expr(reply)).alias("v"))
+        each = parsed.select("reply_id", F.explode(violations(F.col("v"), declaration)).alias("x"))
+        return each.select("reply_id", F.lit(kind).alias("reply_kind"), "x.path", "x.rule", "x.found")
+
+    return found(customer, "c_custkey", COMPANY_REPLY_SQL, "company", COMPANY_DECLARATION).unionByName(
+        found(orders, "o_orderkey", FUNDING_REPLY_SQL, "funding", FUNDING_DECLARATION))
+
+
 # --------------------------------------------------------------------------
 # Enrichment map (O-27..O-30, O-32, O-37) and run metrics (O-62, O-63)
 # --------------------------------------------------------------------------
@@ -358,6 +393,8 @@ QUERIES.update({
     "o13_article_fields": q_article_fields,
     "o15_index_join": q_index_join,
     "o43_responses": q_responses,
+    "o42_cut_replies": q_cut_replies,
+    "o44_declared_schema": q_declared_schema,
     "o27_enrichment": q_enrichment,
     "o63_run_counters": q_run_counters,
     "o62_first_step_tokens": q_first_step_tokens,

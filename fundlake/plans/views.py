@@ -103,3 +103,41 @@ def funding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(k.cast("string")).alias("uuid"),
         rounds.alias("funding_rounds"),
     )
+
+
+# Landed replies. The texts are written once, in SQL that Spark and DuckDB read alike.
+
+#: A final answer of an event, cut or continued in eight ways.
+CUT_REPLY_SQL = """'Final Answer": {"properties":{"event_type":"' || CASE event_id % 8
+  WHEN 1 THEN substr(event_type, 1, 2)
+  WHEN 2 THEN event_type || '","k"'
+  WHEN 3 THEN event_type || '", "k": '
+  WHEN 4 THEN event_type || '","k":' || event_id || ',"tags":["x",'
+  WHEN 5 THEN event_type || '","k":' || event_id || ',"tags":["x"],"note":{"t":"it is ' || chr(92)
+  WHEN 6 THEN event_type || '","k":' || event_id || ',"tags":["x"]}} I hope this helps'
+  WHEN 7 THEN event_type || '","k":' || event_id || ',"tags":["x"}, "note": {}'
+  ELSE event_type || '","k":' || event_id || ',"tags":["x"]}}}' END"""
+
+#: A company reply per customer: whole, or with one of twelve faults.
+COMPANY_REPLY_SQL = """CASE c_custkey % 13 WHEN 11 THEN '["' || c_name || '"]' WHEN 12 THEN 'I am not sure about ' || c_name ELSE
+  '{"company_name":' || CASE c_custkey % 13 WHEN 10 THEN 'null' ELSE '"' || c_name || '"' END
+  || CASE c_custkey % 13 WHEN 1 THEN '' ELSE ',"founders":"Ann, Bob"' END
+  || ',"is_climate_related":' || CASE c_custkey % 13 WHEN 2 THEN '"yes"' WHEN 4 THEN 'false' ELSE 'true' END
+  || ',"climate_sectors":' || CASE c_custkey % 13 WHEN 3 THEN 'null' WHEN 4 THEN 'null' WHEN 5 THEN '"Energy, Space ,Mars"' ELSE '"Energy, Forestry"' END
+  || ',"location":' || CASE c_custkey % 13 WHEN 6 THEN '"Atlantis"' ELSE '"Europe"' END
+  || ',"living_status":"' || CASE c_custkey % 13 WHEN 7 THEN lower(c_mktsegment) ELSE 'living' END || '"'
+  || ',"has_pivoted":null,"year_founded":' || CASE c_custkey % 13 WHEN 9 THEN '2015' ELSE '"2015"' END
+  || CASE c_custkey % 13 WHEN 1 THEN '' ELSE ',"year_died":null' END
+  || ',"idea_summary":"' || c_mktsegment || '","reason_for_demise":null'
+  || CASE c_custkey % 13 WHEN 8 THEN ',"website":"x","extra":{"a":1}' ELSE '' END || '}' END"""
+
+#: A funding reply per order: two rounds, the second one whole or at fault.
+FUNDING_REPLY_SQL = """'{"funding_rounds":' || CASE o_orderkey % 9 WHEN 7 THEN 'null' ELSE
+  '[{"round_name":"Seed","amount":' || o_orderkey || ',"date":"01/20","currency_symbol":"$"},' || CASE o_orderkey % 9
+    WHEN 1 THEN '{"round_name":"' || o_orderpriority || '","amount":1.5,"date":null}'
+    WHEN 2 THEN '{"amount":null}'
+    WHEN 3 THEN '{"round_name":null,"amount":"5M","date":2020}'
+    WHEN 4 THEN '7'
+    WHEN 5 THEN '{"round_name":"Series A","amount":1,"date":"","lead":"x"}'
+    ELSE '{"round_name":"Series B","amount":2,"date":"03/21"}' END || ']' END
+  || CASE o_orderkey % 9 WHEN 6 THEN ',"note":1' ELSE '' END || '}'"""

@@ -171,3 +171,41 @@ ORGANIZATION_SCHEMA = T.StructType([
     )
     for name in ORGANIZATION_FIELDS
 ])
+
+
+# ---------------------------------------------------------------------------
+# Declared replies (for functions.schema_rules)
+# ---------------------------------------------------------------------------
+
+_COMPANY_WORDS = {
+    "climate_sectors": {"list_vocabulary": CLIMATE_SECTORS, "only_if": ("is_climate_related", True)},
+    "location": {"vocabulary": LOCATIONS},
+    "living_status": {"vocabulary": LIVING_STATUSES},
+}
+#: The company reply: its fields, all required, no others; sectors only of climate companies.
+COMPANY_DECLARATION = {
+    "type": "object",
+    "properties": {name: {"type": types, **_COMPANY_WORDS.get(name, {})} for name, types in COMPANY_FIELDS},
+    "required": COMPANY_REQUIRED,
+    "additionalProperties": False,
+}
+#: The funding reply: a list of rounds.
+FUNDING_DECLARATION = {
+    "type": "object",
+    "properties": {
+        "funding_rounds": {
+            "type": "array",
+            "items": {
+                "type": "object",
+                "properties": {
+                    name: {"type": types, **({"vocabulary": FUNDING_ROUNDS} if name == "round_name" else {})}
+                    for name, types in FUNDING_FIELDS
+                },
+                "required": FUNDING_REQUIRED,
+                "additionalProperties": False,
+            },
+        }
+    },
+    "required": FUNDING_ENVELOPE_REQUIRED,
+    "additionalProperties": False,
+}

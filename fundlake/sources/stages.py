@@ -58,12 +58,26 @@ def page_urls(spark: SparkSession, base_url: str, n_pages: int, search_term: str
     )
 
 
-def until_first_empty(listings_per_page: DataFrame, page_col: str = "page", n_col: str = "n_rows") -> DataFrame:
-    """O-05: keep pages before the first page that yielded no rows (or failed,
-    n NULL); the scan stops there. The stop page is one scalar (a global
-    min), fetched once and applied as a literal filter."""
-    stop = listings_per_page.where(F.coalesce(F.col(n_col), F.lit(0)) == 0).agg(F.min(page_col)).first()[0]
-    return listings_per_page if stop is None else listings_per_page.where(F.col(page_col) < F.lit(stop))
+def until_first_empty(listings_per_page: DataFrame, page_col: str = "page", n_col: str = "n_rows",
+                      sources: Sequence[str] = ()) -> DataFrame:
+    """O-05: of every source (all rows are one without ``sources``) keep the pages before the
+    first that yielded no rows (or failed, n NULL); the scan stops there.
+
+    The first empty page is a minimum, partial in every task, then one row per source that
+    is joined back; a source with many pages is split like any skewed join side. Nothing
+    goes through the driver."""
+    keys = [f"__s{i}" for i in range(len(sources))]
+    rows = listings_per_page.select("*", *[F.col(s).alias(k) for s, k in zip(sources, keys)])
+    empty = F.coalesce(F.col(n_col), F.lit(0)) == 0
+    stops = rows.groupBy(*keys).agg(F.min(F.when(empty, F.col(page_col))).alias("__stop"))
+    if not keys:  # one row
+        joined = rows.join(F.broadcast(stops), how="cross")
+    else:
+        renamed = stops.toDF(*[f"{k}r" for k in keys], "__stop")
+        same = [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys]
+        joined = rows.join(renamed, on=same)
+    kept = joined.where(F.col("__stop").isNull() | (F.col(page_col) < F.col("__stop")))
+    return kept.select(*listings_per_page.columns)
 
 
 def records_to_table(spark: SparkSession, records: list[dict], schema: T.StructType | None = None) -> DataFrame:

@@ -8,9 +8,9 @@ end together is a link.
 A document is not walked token by token. Its anchors are the byte offsets at
 which a space-marked token of both sides begins, which is a shared end of the
 tokens before it, verified on the offsets. Anchors cut the ids into windows
-(mostly words), and a window's alignment depends on its ids alone, so it is
-computed once per task and kept under the two id tuples, in a memo of at most
-:data:`MEMO_BYTES` bytes that starts anew when full.
+(mostly words), and a window's alignment depends on its ids alone, so its groups
+are written once per task and kept under the tuple of its A and B ids, in a memo of
+at most :data:`MEMO_BYTES` bytes that starts anew when full.
 
 How often an id pair is linked is counted over the whole corpus: every document
 keeps its links' pair codes in a written table, tasks add them up, and the sums
@@ -36,8 +36,7 @@ import hashlib
 import json
 import os
 import re
-import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,7 +54,7 @@ SLICE_BYTES = 1 << 18
 PART_CHARS = 1 << 16
 #: Bytes of ids and results that a task's memo may hold, and of an entry's objects.
 MEMO_BYTES = 96 << 20
-ENTRY_BYTES = 340
+ENTRY_BYTES = 200
 
 #: A place no token of either side crosses.
 _CUT = re.compile(r"(?<=[A-Za-z0-9.,;:!?)\]]) (?=[A-Za-z])")
@@ -125,7 +124,8 @@ class ByteLevel(Side):
             from tiktoken import Encoding
 
             ranks = {pieces[i]: i for i in vocabulary.values()}
-            self._one = Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            one = Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+            self._one = lambda text: one(text, disallowed_special=())
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
@@ -133,7 +133,7 @@ class ByteLevel(Side):
             self._library = Tokenizer.from_file(path)
             self._library.encode_special_tokens = True
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[Sequence[int]]:
         """Ids of texts that already begin with their space."""
         if self.plain:
             return [self._one(t) for t in texts]
@@ -195,69 +195,62 @@ class Aligner:
 
     def __init__(self, a: Side, b: Side, memo_bytes: int = MEMO_BYTES):
         self.a, self.b, self.memo_bytes = a, b, memo_bytes
-        self.memo: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
+        self.memo: dict[bytes, str] = {}
         self.held = 0
-        self.sizes_a, self.sizes_b = a.lengths.tolist(), b.lengths.tolist()
-        self.names_a, self.names_b = ([f"{i}," for i in range(len(s.pieces))] for s in (a, b))
-
-    def window(self, ids: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """The groups (text) and links (codes) of one window: its 32-bit A and B ids."""
-        found = self.memo.get(ids)
-        if found is None:
-            found = self._align(memoryview(ids[0]).cast("i").tolist(), memoryview(ids[1]).cast("i").tolist())
-            size = ENTRY_BYTES + len(ids[0]) + len(ids[1]) + len(found[0]) + len(found[1])
-            if self.held + size > self.memo_bytes:
-                self.memo.clear()
-                self.held = 0
-            if size <= self.memo_bytes:
-                self.memo[ids] = found
-                self.held += size
-        return found
-
-    def _align(self, a: list[int], b: list[int]) -> tuple[str, bytes]:
-        sizes_a, sizes_b, names_a, names_b = self.sizes_a, self.sizes_b, self.names_a, self.names_b
-        groups, codes = [], []
-        end_a = end_b = y = 0
-        text_a = text_b = ""
-        for t in a:
-            end_a += sizes_a[t]
-            text_a += names_a[t]
-            while end_b < end_a:
-                u = b[y]
-                y += 1
-                end_b += sizes_b[u]
-                text_b += names_b[u]
-            if end_a == end_b:
-                groups.append(text_a[:-1] + ";" + text_b[:-1])
-                codes.append(t * len(sizes_b) + u)
-                text_a = text_b = ""
-        return "|".join(groups), struct.pack(f"<{len(codes)}q", *codes)
+        # Every id as text with the mark that may follow it.
+        marks = ((a, ","), (a, ";"), (b, ","), (b, "|"))
+        self.names = [f"{i}{mark}" for side, mark in marks for i in range(len(side.pieces))]
 
     def document(self, a: np.ndarray, b: np.ndarray) -> Aligned:
         """Align a document's ids (32-bit), whose bytes are known to be equal."""
         if not len(a):
             return NOTHING
-        length_a, length_b = self.a.lengths[a], self.b.lengths[b]
-        start_a, start_b = np.cumsum(length_a) - length_a, np.cumsum(length_b) - length_b
-        # Anchors: offsets at which space-marked tokens of both sides begin. A token
-        # that begins there ends a shared stretch before it.
-        marked = np.zeros(int(start_a[-1]) + 1, bool)
-        marked[start_a[self.a.spaced[a]]] = True
-        spaced_b = np.nonzero(self.b.spaced[b] & (start_b <= start_a[-1]))[0]
-        first_b = spaced_b[marked[start_b[spaced_b]]]
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        marked = np.zeros(int(ends_a[-1]) + 1, bool)
+        marked[ends_b] = True
+        last_a = np.flatnonzero(marked[ends_a])  # the A and B tokens that end together
         marked[:] = False
-        marked[start_b[first_b]] = True
-        first_a = np.nonzero(marked[start_a])[0]
-        cuts_a = [4 * i for i in first_a.tolist()] + [4 * len(a)]
-        cuts_b = [4 * i for i in first_b.tolist()] + [4 * len(b)]
-        if not first_a.size or first_a[0] > 0 or first_b[0] > 0:  # the document begins without an anchor
-            cuts_a.insert(0, 0)
-            cuts_b.insert(0, 0)
-        raw_a, raw_b, known, window = a.tobytes(), b.tobytes(), self.memo.get, self.window
-        windows = [(raw_a[i:x], raw_b[j:y]) for i, x, j, y in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
-        found = [known(w) or window(w) for w in windows]
-        links = b"".join([f[1] for f in found])
-        return Aligned(len(a), len(b), len(links) // 8, "|".join([f[0] for f in found]), links)
+        marked[ends_a] = True
+        last_b = np.flatnonzero(marked[ends_b])
+        links = (a[last_a].astype(np.int64) * len(self.b.pieces) + b[last_b]).astype("<i8").tobytes()
+        # Anchors: shared ends behind which both sides go on with a space-marked token.
+        anchors = np.flatnonzero(self.a.spaced[a[last_a[:-1] + 1]] & self.b.spaced[b[last_b[:-1] + 1]])
+        cuts_a = np.concatenate([[0], last_a[anchors] + 1, [len(a)]])
+        cuts_b = np.concatenate([[0], last_b[anchors] + 1, [len(b)]])
+        # The ids of both sides window by window: a window's tuples are one stretch of bytes.
+        both = np.empty(len(a) + len(b), np.int32)
+        both[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = a
+        both[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = b + len(self.a.pieces)
+        raw, known, cuts = both.tobytes(), self.memo.get, (cuts_a + cuts_b).tolist()
+        windows = [raw[4 * i : 4 * x] for i, x in zip(cuts, cuts[1:])]
+        found = [known(w) for w in windows]
+        if None in found:
+            named = self._named(a, b, last_a, last_b)
+            for k, w in enumerate(windows):
+                if found[k] is None:
+                    found[k] = known(w) or self._keep(w, "".join(named[cuts[k] : cuts[k + 1]])[:-1])
+        return Aligned(len(a), len(b), len(last_a), "|".join(found), links)
+
+    def _named(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> list[str]:
+        """The ids of both sides as text, group by group, each with the mark behind it."""
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)] = a
+        order[np.arange(len(b)) + np.repeat(last_a + 1, size_b)] = b + 2 * len(self.a.pieces)
+        order[last_a + last_b + 1 - size_b] += len(self.a.pieces)  # the last A token of a group
+        order[last_a + last_b + 1] += len(self.b.pieces)  # its last B token
+        return [self.names[i] for i in order.tolist()]
+
+    def _keep(self, window: bytes, groups: str) -> str:
+        """Remember a window's groups under its ids."""
+        size = ENTRY_BYTES + len(window) + len(groups)
+        if self.held + size > self.memo_bytes:
+            self.memo.clear()
+            self.held = 0
+        if size <= self.memo_bytes:
+            self.memo[window] = groups
+            self.held += size
+        return groups
 
 
 def parts_of(text: str, size: int = PART_CHARS) -> list[str]:

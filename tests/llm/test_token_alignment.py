@@ -105,7 +105,7 @@ def test_parts_of_long_texts_give_the_ids_of_the_whole(sides):
     text = " " + " ".join(rng.choices(words, k=60_000))
     assert len(T.parts_of(text)) > 2 and "".join(T.parts_of(text)) == text
     for side in sides:
-        whole = side.encode([text])[0]
+        whole = list(side.encode([text])[0])
         assert T.encode_documents(side, [text, " short"])[0].tolist() == whole
     assert T.parts_of(" " + "é" * 200_000) == [" " + "é" * 200_000]  # nowhere to cut
 
@@ -137,7 +137,7 @@ def test_every_code_point_has_the_library_s_ids(sides):
     points = [c for c in range(0, 0x30000, 4) if not 0xD800 <= c < 0xE000]
     for at in range(0, len(points), 4096):
         texts = [f" a{c}b {c}{c} 1{c}2  {c} .{c}!\n{c}" for c in map(chr, points[at : at + 4096])]
-        assert a.encode(texts) == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+        assert [list(x) for x in a.encode(texts)] == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
 
 
 def test_other_files_are_encoded_by_their_library(sides, tmp_path):
@@ -146,4 +146,4 @@ def test_other_files_are_encoded_by_their_library(sides, tmp_path):
     path = tmp_path / "other.json"
     path.write_text(json.dumps(held), encoding="utf-8")
     other = T.ByteLevel(str(path))
-    assert not other.plain and other.encode([" A b"]) == sides[0].encode([" a b"])
+    assert not other.plain and list(other.encode([" A b"])[0]) == list(sides[0].encode([" a b"])[0])

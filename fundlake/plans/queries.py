@@ -364,6 +364,28 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def q_union_of_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-06, O-21: loose event records to a table, every key of any record a column."""
+    from fundlake.plans.views import LOOSE_RECORD_SQL, table
+    from fundlake.sources.records import records_table
+
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value"), "event_id")
+    loose = ev.select("event_id", F.expr(LOOSE_RECORD_SQL).alias("record"))
+    return records_table(loose, "record", ["event_id"], keep_cols=["event_id"])
+
+
+def q_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-05: of every user the events (pages of a scan) before the first error (a
+    failed page) or the first of value under 1 (an empty one)."""
+    from fundlake.plans.views import table
+    from fundlake.sources.stages import until_first_empty
+
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", F.col("event_id").alias("page"),
+        F.when(F.col("event_type") != "error", F.floor("value")).alias("n_rows"))
+    return until_first_empty(ev, sources=["user_id"])
+
+
 def q_drop_type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-18, O-17: documents whose text mentions 'type' (any case) dropped,
     null texts filtered; counts per language."""
@@ -399,6 +421,8 @@ QUERIES.update({
     "o63_run_counters": q_run_counters,
     "o62_first_step_tokens": q_first_step_tokens,
     "o01_csv_roundtrip": q_csv_roundtrip,
+    "o05_until_empty": q_until_empty,
+    "o06_union_of_keys": q_union_of_keys,
     "o18_drop_type_names": q_drop_type_names,
     "o34_first_rows": q_first_rows,
 })

@@ -141,3 +141,12 @@ FUNDING_REPLY_SQL = """'{"funding_rounds":' || CASE o_orderkey % 9 WHEN 7 THEN '
     WHEN 5 THEN '{"round_name":"Series A","amount":1,"date":"","lead":"x"}'
     ELSE '{"round_name":"Series B","amount":2,"date":"03/21"}' END || ']' END
   || CASE o_orderkey % 9 WHEN 6 THEN ',"note":1' ELSE '' END || '}'"""
+
+
+#: An event's properties with keys that come and go: numbers, texts, a list, an object, and a key
+#: that is a number here and a text there.
+LOOSE_RECORD_SQL = """'{"k":' || CASE WHEN event_type = 'view' THEN '"' || event_id || '"' ELSE '' || event_id END || CASE event_type
+  WHEN 'purchase' THEN ',"cents":' || CAST(floor(value) AS BIGINT) || ',"user":{"id":' || user_id || '}'
+  WHEN 'error' THEN ',"code":"E' || user_id || '"'
+  WHEN 'click' THEN ',"tags":["a",' || user_id || '],"first":' || CASE WHEN user_id > 7 THEN 'true' ELSE 'false' END
+  ELSE '' END || '}'"""

@@ -10,8 +10,9 @@ in built-in operators. Selectors are a small CSS subset: ``tag``, ``.class``,
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -23,6 +24,8 @@ from fundlake.session import ship_package
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
 
+_NO_TEXT = {"script", "style", "template"}
+
 
 class Node:
     __slots__ = ("tag", "attrs", "children", "parent")
@@ -34,13 +37,14 @@ class Node:
         return set((self.attrs.get("class") or "").split())
 
     def text(self) -> str:
+        """The text below, without that of scripts, styles and templates in it."""
         out: list[str] = []
         stack: list[object] = [self]
         while stack:
             item = stack.pop()
             if isinstance(item, str):
                 out.append(item)
-            else:
+            elif item is self or item.tag not in _NO_TEXT:  # type: ignore[union-attr]
                 stack.extend(reversed(item.children))  # type: ignore[union-attr]
         return "".join(out)
 
@@ -89,6 +93,7 @@ def parse_html(html: str) -> Node:
 _COMPOUND = re.compile(r"([a-zA-Z0-9_-]+|\*)?((?:\.[a-zA-Z0-9_-]+)*)((?:\[[a-zA-Z0-9_-]+\])*)")
 
 
+@lru_cache(maxsize=256)
 def _compile(selector: str) -> list[tuple[str, tuple[str | None, set[str], list[str]]]]:
     """'ul.a > li.b c' -> [(' ', ul.a), ('>', li.b), (' ', c)]."""
     steps, combinator = [], " "
@@ -294,14 +299,24 @@ def rejected_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("error").isNotNull())
 
 
-def successful_pages(pages: DataFrame, status_col: str = "status") -> DataFrame:
-    """O-02: keep pages fetched with status 200 (all, when no status column)."""
-    if status_col not in pages.columns:
+def successful_pages(pages: DataFrame, status_col: str | None = "status") -> DataFrame:
+    """O-02: keep pages fetched with status 200. A table without ``status_col`` is an
+    error; None says that all its pages were fetched."""
+    if status_col is None:
         return pages
+    if status_col not in pages.columns:
+        raise ValueError(f"pages have no column {status_col}: pass None if all of them were fetched")
     return pages.where(F.col(status_col) == 200)
 
 
-def index_to_articles(index: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
+def failed_pages(pages: DataFrame, status_col: str | None = "status") -> DataFrame:
+    """(url, error): the pages ``successful_pages`` leaves out."""
+    status = F.lit(200) if status_col is None else F.col(status_col)
+    error = F.concat(F.lit("status "), F.coalesce(status.cast("string"), F.lit("unknown")))
+    return pages.where(~F.coalesce(status == 200, F.lit(False))).select("url", error.alias("error"))
+
+
+def index_to_articles(index: DataFrame, pages: DataFrame, url_col: str = "url", keep_cols: Sequence[str] = ()) -> DataFrame:
     """O-15: the index's url list drives the article fetch: an inner join on
-    url, duplicates kept (no distinct)."""
-    return index.select(url_col).join(pages, url_col, "inner")
+    url, duplicates kept (no distinct). ``keep_cols`` of the index stay."""
+    return index.select(url_col, *keep_cols).join(pages, url_col, "inner")

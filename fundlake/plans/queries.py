@@ -185,7 +185,7 @@ def q_listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fundlake.operators import html_extract as H
     from fundlake.plans.views import table
 
-    pages = H.successful_pages(table(spark, sf_dir, "pages"))
+    pages = H.successful_pages(table(spark, sf_dir, "pages"), status_col=None)
     cards = H.ok_rows(H.extract_listings(pages, H.DRIVER_LISTING, keys=("page_id",)))
     return cards.select("page_id", F.col("url_found").alias("href"), "title")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,11 @@ def run_timestamp() -> F.Column:
     return F.date_format(F.current_timestamp(), RUN_TS_FORMAT)
 
 
+def new_run_id(spark: SparkSession) -> str:
+    """O-09, O-59: the run's UTC time, taken once; all outputs of a run carry it."""
+    return spark.range(1).select(run_timestamp()).first()[0]
+
+
 def stamp(df: DataFrame, run_ts: str | None = None) -> DataFrame:
     """O-09: attach the run stamp that ties a run's outputs together."""
     return df.withColumn("timestamp", F.lit(run_ts) if run_ts else run_timestamp())
@@ -44,3 +49,18 @@ def write_stage(df: DataFrame, path: str, partition_by: str | None = None, mode:
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """O-09: a run's rows of one stage under ``path/run_id=<run>``. Only that partition is
+    replaced, so a run that is repeated, after a failure too, stands once, and others stay."""
+    if not path or not run_id:
+        raise ValueError("Need to provide a folder and a run to save")
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+
+
+def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """The rows of one run of a stage (only its partition is read)."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/run_id={run_id.replace(':', '%3A')}")
+    return rows.drop("run_id")

@@ -24,9 +24,9 @@ def read_landed_pages(spark: SparkSession, directory: str, schema: str, glob: st
 
 
 def articles_stream(pages: DataFrame, spec: H.ArticleSpec = H.ArticleSpec(),
-                    keys=("page_id", "url")) -> DataFrame:
+                    keys=("page_id", "url"), status_col: str | None = "status") -> DataFrame:
     """O-02 + O-13: successful pages to article rows (errors kept in a column)."""
-    return H.extract_articles(H.successful_pages(pages), spec, keys=keys)
+    return H.extract_articles(H.successful_pages(pages, status_col), spec, keys=keys)
 
 
 def land_articles(articles: DataFrame, sink_dir: str, checkpoint_dir: str,

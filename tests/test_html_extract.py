@@ -1,5 +1,8 @@
 """HTML fixtures (FIXTURES §6): one per outcome of the card and article rules."""
 
+import pytest
+
+from fundlake.operators import html_extract as H
 from fundlake.operators.html_extract import (
     ArticleSpec, ListingSpec, article_record, listing_records, parse_html, select,
 )
@@ -70,3 +73,19 @@ def test_script_text_is_not_markup():
     html = '<html><head><script>var t="</p>";</script></head><body><h1>A &amp; B</h1><article>x</article></body></html>'
     rec = article_record(html, ArticleSpec(title="h1", author_blocks=(), time=None, content="article"))
     assert rec["title"] == "A & B" and rec["error"] is None
+
+
+def test_scripts_styles_and_templates_are_no_text():
+    html = "<article><p>a</p><script>var x;</script><style>p{}</style><template><p>t</p></template><b>b</b></article>"
+    assert H.select_one(H.parse_html(html), "article").text() == "ab"
+    assert H.select_one(H.parse_html(html), "script").text() == "var x;"
+
+
+def test_pages_without_a_status_need_to_say_so(spark):
+    pages = spark.createDataFrame([("u", "<p>")], "url string, html string")
+    with pytest.raises(ValueError):
+        H.successful_pages(pages)
+    assert H.successful_pages(pages, status_col=None).count() == 1 and H.failed_pages(pages, status_col=None).count() == 0
+    mixed = spark.createDataFrame([("a", 200), ("b", 404), ("c", None)], "url string, status int")
+    assert [r.url for r in H.successful_pages(mixed).collect()] == ["a"]
+    assert sorted(map(tuple, H.failed_pages(mixed).collect())) == [("b", "status 404"), ("c", "status unknown")]

@@ -45,7 +45,9 @@ def test_pipeline_end_to_end(spark):
            for r in res.reconciled.companies.collect()}
     # Beta's funding call fails twice (retry once) -> its row keeps NULL and is filtered (O-17).
     assert out == {"Acme": [("Seed", "01/21", 5, "$")]}
-    assert res.rejected.count() == 1
+    assert sorted((r.stage, r.error) for r in res.rejected.collect()) == [("funding", "RuntimeError: rate_limit_exceeded")]
+    assert [(r.url, r.index_ord) for r in res.index.orderBy("index_ord").collect()] == [("https://n/1", 0), ("https://n/2", 1), ("https://n/3", 2)]
+    assert {r.timestamp for df in (res.index, res.articles, res.companies) for r in df.select("timestamp").distinct().collect()} == {res.run_id}
 
 
 def test_rejects_keep_the_whole_reply(spark):
@@ -56,3 +58,69 @@ def test_rejects_keep_the_whole_reply(spark):
     known = spark.createDataFrame([("u1", "Acme")], "uuid string, company_name string")
     _, rejected = pipeline.add_funding(known, lambda row: (reply, 1))
     assert [(r.uuid, r.reply) for r in rejected.collect()] == [("u1", reply)]
+
+
+def _site(spark):
+    cards = "".join(CARD.format(url=f"https://n/{i}", title=f"T{i}", i=i) for i in (1, 2, 3, 9))
+    bad_card = '<li class="wp-block-post"><h3 class="loop-card__title"><a href="https://n/4">Four</a></h3></li>'
+    listing = spark.createDataFrame(
+        [(2, "https://n/page/2", 200, LISTING.format(cards=CARD.format(url="https://n/5", title="T5", i=5))),
+         (1, "https://n/page/10", 200, LISTING.format(cards=cards + bad_card)), (3, "https://n/page/3", 500, "")],
+        "page int, url string, status int, html string")
+    pages = [(f"https://n/{i}", 200, ARTICLE.format(title=f"T{i}", company="Acme" if i < 3 else "Beta", i=i)) for i in (1, 2, 3)]
+    pages += [("https://n/5", 200, "<html><h1>no title class</h1></html>"), ("https://n/9", 404, "")]
+    return listing, spark.createDataFrame(pages, "url string, status int, html string")
+
+
+def _models():
+    def company(row):  # nested: shipped to workers by value
+        return json.dumps({"company_name": row["content"].split(" ")[0]}), 10
+
+    def funding(row):
+        amount = len(row["company_json"])
+        return json.dumps({"funding_rounds": [{"round_name": "Seed", "amount": amount, "date": "2021", "currency_symbol": "$"}]}), 7
+
+    return company, funding
+
+
+def test_dropped_rows_are_listed_with_their_stage(spark):
+    listing, pages = _site(spark)
+    res = pipeline.run(listing, pages, *_models())
+    assert [r.url for r in res.index.orderBy("index_ord").collect()] == [f"https://n/{i}" for i in (1, 2, 3, 9, 5)]
+    assert sorted((r.stage, r.url, r.error) for r in res.rejected.collect()) == [
+        ("article", "https://n/5", "missing title"), ("article page", "https://n/9", "not fetched"),
+        ("listing card", "https://n/page/10", "missing author"), ("listing page", "https://n/page/3", "status 500")]
+
+
+def test_a_repeated_run_replaces_itself(spark, tmp_path):
+    from fundlake.sinks.stages import read_run, write_run
+
+    listing, pages = _site(spark)
+    folder = str(tmp_path / "stages")
+    for run_id in ("2024-01-01T00:00:00", "2024-01-02T00:00:00", "2024-01-01T00:00:00"):
+        first = pipeline.run(listing, pages, *_models(), run_id=run_id)
+        write_run(first.index.limit(1), f"{folder}/index", run_id)  # what a run that failed had written
+        pipeline.land(first, folder)
+    for stage, n in (("index", 5), ("articles", 3), ("companies", 3), ("enriched", 3), ("reconciled_companies", 2), ("reconciled_rounds", 2), ("rejected", 4)):
+        rows = spark.read.parquet(f"{folder}/{stage}")
+        assert rows.count() == 2 * n and read_run(spark, f"{folder}/{stage}", "2024-01-02T00:00:00").count() == n
+    joined = spark.read.parquet(f"{folder}/index").join(spark.read.parquet(f"{folder}/articles"), ["run_id", "url"])
+    assert joined.count() == 6
+
+
+def test_a_run_with_a_reply_store_asks_once(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    folder = str(asked)
+
+    def company(row):
+        import os
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        return json.dumps({"company_name": row["content"].split(" ")[0]}), 10
+
+    listing, pages = _site(spark)
+    results = [pipeline.run(listing, pages, company, _models()[1], replies=str(tmp_path / "replies")) for _ in range(2)]
+    rounds = [sorted(map(tuple, r.reconciled.rounds.collect())) for r in results]
+    assert rounds[0] == rounds[1] and len(rounds[0]) == 2 and len(list(asked.iterdir())) == 3

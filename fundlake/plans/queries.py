@@ -157,23 +157,24 @@ def q_org_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-26: the top 3 documents containing each benchmark passage."""
-    from fundlake.operators.lookup import text_search
+    from fundlake.operators.text_index import search, stored_index
     from fundlake.plans.views import table
 
     docs = table(spark, sf_dir, "documents")
-    return text_search(table(spark, sf_dir, "benchmark"), docs, k=3)
+    return search(stored_index(docs), table(spark, sf_dir, "benchmark"), docs, k=3)
 
 
 def q_short_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-26 for names: the top 3 documents containing the first two words and
     the third word of each benchmark passage."""
-    from fundlake.operators.lookup import text_search
+    from fundlake.operators.text_index import search, stored_index
     from fundlake.plans.views import table
 
+    docs = table(spark, sf_dir, "documents")
     items = table(spark, sf_dir, "benchmark")
     two = items.selectExpr("item_id", "split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) AS text")
     one = items.selectExpr("item_id + 1000000 AS item_id", "split_part(text, ' ', 3) AS text")
-    return text_search(two.unionAll(one), table(spark, sf_dir, "documents"), k=3)
+    return search(stored_index(docs), two.unionAll(one), docs, k=3)
 
 
 # --------------------------------------------------------------------------

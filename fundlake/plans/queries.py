@@ -365,6 +365,29 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def q_reconciled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-01, O-17, O-20, O-35, O-40: several CSV files with echo columns and broken
+    cells in, the reconciled CSV and its quarantine out, both read back."""
+    import os
+
+    from fundlake.plans.csv_stage import read_reconciled, reconcile_csv
+    from fundlake.plans.views import STAGE_CELL_SQL
+    from fundlake.session import scratch_path
+    from fundlake.sinks.stages import write_stage_csv
+
+    folder = scratch_path(spark, "funding-csv")
+    cells = funding_raw(spark, sf_dir).withColumn("k", F.col("row_ord")).withColumn("funding_rounds", F.expr(STAGE_CELL_SQL))
+    cells = cells.withColumns({"type": F.lit("object"), "json_schema": F.lit('{"a": "b"}')})
+    files = cells.repartitionByRange(4, "k").sortWithinPartitions("k")
+    write_stage_csv(files.select("company_name", "type", "uuid", "json_schema", "funding_rounds"), os.path.join(folder, "in"))
+    reconcile_csv(spark, os.path.join(folder, "in"), os.path.join(folder, "out"),
+                  "company_name string, type string, uuid string, json_schema string, funding_rounds string")
+    companies, quarantine = read_reconciled(spark, os.path.join(folder, "out"), "company_name string, uuid string, funding_rounds string")
+    none = F.lit(None).cast("string")
+    return companies.select(F.lit("company").alias("part"), "company_name", "uuid", F.col("funding_rounds").alias("value"), none.alias("reason")).unionByName(
+        quarantine.select(F.lit("quarantine").alias("part"), "company_name", none.alias("uuid"), "value", "reason"))
+
+
 def q_union_of_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-06, O-21: loose event records to a table, every key of any record a column."""
     from fundlake.plans.views import LOOSE_RECORD_SQL, table
@@ -422,6 +445,7 @@ QUERIES.update({
     "o63_run_counters": q_run_counters,
     "o62_first_step_tokens": q_first_step_tokens,
     "o01_csv_roundtrip": q_csv_roundtrip,
+    "o35_reconciled_csv": q_reconciled_csv,
     "o05_until_empty": q_until_empty,
     "o06_union_of_keys": q_union_of_keys,
     "o18_drop_type_names": q_drop_type_names,

@@ -150,3 +150,8 @@ LOOSE_RECORD_SQL = """'{"k":' || CASE WHEN event_type = 'view' THEN '"' || event
   WHEN 'error' THEN ',"code":"E' || user_id || '"'
   WHEN 'click' THEN ',"tags":["a",' || user_id || '],"first":' || CASE WHEN user_id > 7 THEN 'true' ELSE 'false' END
   ELSE '' END || '}'"""
+
+
+#: A stage's funding cell, some of them broken (``k``: the row's number).
+STAGE_CELL_SQL = """CASE WHEN k % 23 = 0 THEN 'not json' WHEN k % 29 = 0 THEN '{"a":1}' WHEN k % 31 = 0 THEN 'null'
+  WHEN k % 37 = 0 THEN '[7,{"round_name":5,"date":"2020"}]' ELSE funding_rounds END"""

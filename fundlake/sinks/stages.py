@@ -26,8 +26,9 @@ def stamp(df: DataFrame, run_ts: str | None = None) -> DataFrame:
 
 
 def write_stage_csv(df: DataFrame, path: str, mode: str = "errorifexists",
-                    sort_by: str | None = None) -> None:
-    """O-08: CSV with header, UTF-8, ``"``-doubling; nested columns as JSON.
+                    sort_by: str | None = None, max_records_per_file: int | None = None) -> None:
+    """O-08: CSV with header, UTF-8, ``"``-doubling; nested columns as JSON (O-40);
+    ``max_records_per_file`` bounds the files, each of which is read back by one task.
     ``sort_by`` orders the written rows (O-35: reconciled companies come out
     by ascending name); sorting happens only here, at the sink."""
     if not path:
@@ -40,7 +41,7 @@ def write_stage_csv(df: DataFrame, path: str, mode: str = "errorifexists",
         for f in df.schema.fields
     ])
     (flat.write.mode(mode).option("header", True).option("escape", '"')
-     .option("encoding", "UTF-8").csv(path))
+     .option("encoding", "UTF-8").option("maxRecordsPerFile", max_records_per_file or 0).csv(path))
 
 
 def write_stage(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "errorifexists") -> None:

@@ -48,6 +48,8 @@ from fundlake.session import materialize
 WORDS = 4
 SIZE, BANDS, ROWS = 128, 32, 4
 BLOCK = 512
+#: Shared elements compared at a time in a block.
+KINDS = 8192
 #: Places of the bitmap of document ids (4 MB).
 BITMAP = 1 << 25
 MASK56 = np.uint64((1 << 56) - 1)
@@ -213,9 +215,15 @@ def confirm_block(block: pd.DataFrame) -> pd.DataFrame:
     hub = int(block["hub_size"].iloc[0])
 
     def common(name: str) -> np.ndarray:
+        """How many elements any two members share, over slices of the shared ones: memory is
+        bounded by BLOCK x KINDS numbers a side, whatever the members add."""
         x, y = ([np.asarray(v, np.int64) for v in side[name]] for side in (left, right))
         kinds = np.intersect1d(np.concatenate(x), np.concatenate(y))
-        return _block_links(x, kinds) @ _block_links(y, kinds).T
+        total = np.zeros((len(x), len(y)), np.float32)
+        for at in range(0, len(kinds), KINDS):
+            part = kinds[at : at + KINDS]
+            total += _block_links(x, part) @ _block_links(y, part).T
+        return total
 
     def size(name: str) -> tuple[np.ndarray, np.ndarray]:
         return left[name].map(len).to_numpy(float)[:, None], right[name].map(len).to_numpy(float)[None, :]
@@ -290,6 +298,8 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     columns = ["id", "hub", "i", "j", "side", "root", "hub_size", "added", "removed"]
     more = (
         left.select(*columns).union(right.select(*columns))
+        # Dealt by block: by hub alone, all blocks of a hub would be one task's.
+        .repartition("hub", "i", "j")
         .groupBy("hub", "i", "j")
         .applyInPandas(confirm_block, "a bigint, b bigint")
     )

@@ -173,6 +173,25 @@ def test_token_store_equals_the_tokenizer(spark, odd_documents):
         start += len(ids)
 
 
+def test_blocks_of_a_hub_are_compared_in_slices(monkeypatch):
+    """Members of one hub, their differences cut into slices of seven, against sets."""
+    import pandas as pd
+
+    rng = random.Random(3)
+    hub = set(range(200))
+    members = []
+    for i in range(40):
+        kept = hub - set(rng.sample(sorted(hub), rng.randint(0, 40)))
+        members.append(kept | set(rng.sample(range(200, 260), rng.randint(0, 30))))
+    block = pd.DataFrame({
+        "id": range(40), "root": range(40), "side": [i % 2 for i in range(40)], "hub_size": 200,
+        "added": [sorted(m - hub) for m in members], "removed": [sorted(hub - m) for m in members],
+    })
+    monkeypatch.setattr(fast_sketch_dedup, "KINDS", 7)
+    got = {tuple(r) for r in fast_sketch_dedup.confirm_block(block).itertuples(index=False)}
+    assert got == {(i, j) for i in range(0, 40, 2) for j in range(1, 40, 2) if 100 * len(members[i] & members[j]) >= 80 * len(members[i] | members[j])}
+
+
 def test_words_by_rank_equal_the_tokenizer():
     """Every entry of the file and random plain, odd and accented words."""
     import json

@@ -213,6 +213,30 @@ def q_index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("n_index_rows"))
 
 
+def q_article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-13, O-14: the article text of every page, whole."""
+    from fundlake.operators import html_extract as H
+    from fundlake.plans.views import table
+
+    arts = H.ok_rows(H.extract_articles(table(spark, sf_dir, "pages"), H.DRIVER_ARTICLE, keys=("page_id",)))
+    return arts.select("page_id", F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("content_md5"))
+
+
+def q_index_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-15, O-02: an index with repeats and misses against fetched pages, some of which
+    failed: rows per index entry, and the entries without a page."""
+    from fundlake.operators import html_extract as H
+    from fundlake.plans.views import table
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.when(F.col("page_id") % 7 == 0, 404).otherwise(200).alias("status"))
+    index = pages.select(F.explode(F.expr(
+        "concat(array_repeat(url, CAST(page_id % 4 AS INT)), CASE WHEN page_id % 5 = 0 THEN array(concat(url, '/gone')) ELSE array() END)")).alias("url"))
+    fetched = H.successful_pages(pages).drop("status")
+    found = H.index_to_articles(index, fetched).groupBy("url", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    missed = index.join(fetched, "url", "left_anti").groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    return found.select("url", "page_id", "n").unionByName(missed.select("url", F.lit(None).cast("bigint").alias("page_id"), "n"))
+
+
 # --------------------------------------------------------------------------
 # Model responses (O-41..O-47) over a landed-response view of events
 # --------------------------------------------------------------------------
@@ -321,6 +345,24 @@ def q_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("total_tokens").alias("tokens"))
 
 
+def q_successes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-28, O-39: the successful rows, each as one JSON text."""
+    from fundlake.operators.enrich import row_as_json, successes
+
+    ok = successes(_enriched(spark, sf_dir)).withColumn("attempt", F.col("attempt").cast("int"))
+    return ok.select("conv_id", "turn", row_as_json("conv_id", "turn", "attempt", "value").alias("row_json"))
+
+
+def q_split_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-48, O-50: comma lists with Unicode white space around their items, split and stripped."""
+    from fundlake.functions.text import split_trim, ustrip
+    from fundlake.plans.views import SPACED_LIST_SQL, table
+
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.expr(SPACED_LIST_SQL).alias("raw"))
+    items = split_trim(F.col("raw"))
+    return c.select("c_custkey", F.array_join(items, "|").alias("items"), F.size(items).cast("bigint").alias("n"), ustrip(F.col("raw")).alias("stripped"))
+
+
 def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-63: run counters (true request count, successes, failures, tokens)."""
     res = _enriched(spark, sf_dir)
@@ -362,7 +404,7 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_stage_csv(stamp(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")), path)
     schema = "doc_id bigint, lang string, source string, text string, timestamp string"
     back = read_stage_csv(spark, path, schema, order_col=None)
-    return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
+    return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def q_reconciled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,6 +480,10 @@ QUERIES.update({
     "o10_listing_links": q_listing_links,
     "o13_article_fields": q_article_fields,
     "o15_index_join": q_index_join,
+    "o13_article_text": q_article_text,
+    "o15_index_misses": q_index_misses,
+    "o28_successes": q_successes,
+    "o48_split_strip": q_split_strip,
     "o43_responses": q_responses,
     "o42_cut_replies": q_cut_replies,
     "o44_declared_schema": q_declared_schema,

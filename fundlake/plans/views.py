@@ -155,3 +155,9 @@ LOOSE_RECORD_SQL = """'{"k":' || CASE WHEN event_type = 'view' THEN '"' || event
 #: A stage's funding cell, some of them broken (``k``: the row's number).
 STAGE_CELL_SQL = """CASE WHEN k % 23 = 0 THEN 'not json' WHEN k % 29 = 0 THEN '{"a":1}' WHEN k % 31 = 0 THEN 'null'
   WHEN k % 37 = 0 THEN '[7,{"round_name":5,"date":"2020"}]' ELSE funding_rounds END"""
+
+
+#: A comma list with white space of several kinds around its items (no-break, em and
+#: ideographic space, tab, line break, unit separator).
+SPACED_LIST_SQL = """chr(9) || 'Energy' || chr(160) || ',\u2003' || c_mktsegment || chr(10) || ', ' || chr(31)
+  || CASE c_custkey % 3 WHEN 0 THEN 'Water and Oceans' WHEN 1 THEN '' ELSE 'Forestry' || chr(160) || 'x' END || '\u3000'"""

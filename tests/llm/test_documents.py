@@ -120,6 +120,29 @@ def test_sketch_fills_every_coordinate_and_estimates_similarity():
     assert abs((made[0] == made[1]).mean() - 800 / 1200) < 0.15
 
 
+def test_no_substitutions_a_window_may_have_hide_it_from_all_masks():
+    from itertools import combinations
+
+    window, span = spaced_seeds.WINDOW, spaced_seeds.SPAN
+    may = window - -(-spaced_seeds.SHARE * window // 100)
+    for changed in combinations(range(window), may):
+        assert any(not set(changed) & {at + p for p in mask} for mask in spaced_seeds.MASKS for at in range(window - span + 1)), changed
+
+
+def test_every_pair_of_substitutions_in_a_copied_window_is_found(spark):
+    """All 78 pairs in 13 copied words of an item of 20, other words around them."""
+    from itertools import combinations
+
+    item = [f"w{i}" for i in range(20)]
+    docs = []
+    for n, changed in enumerate(combinations(range(13), 2)):
+        copied = [f"x{n}" if i in changed else w for i, w in enumerate(item[4:17])]
+        docs.append((n, " ".join([f"a{n}", *copied, f"b{n}"])))
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = spaced_seeds.overlaps(spark.createDataFrame(docs, DOCS), items).collect()
+    assert len(docs) == 78 and sorted((r.doc_id, r.matched, r.start) for r in got) == [(n, 11, -3) for n in range(78)]
+
+
 def test_spaced_seeds_tolerate_substitutions(spark):
     rng = random.Random(1)
     item = [f"b{i}" for i in range(30)]

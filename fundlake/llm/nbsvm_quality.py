@@ -7,7 +7,7 @@ neighbouring words, each hashed to one of 2^:data:`BITS` places. Every
 indicator is scaled by its class log-count ratio
 ``log((1 + p) / |p|) - log((1 + q) / |q|)`` (p and q: documents of either class
 with the feature, smoothed), rows are brought to unit length, and a linear
-L2-regularised squared-hinge loss is minimised by dual coordinate descent. A
+L2-regularised hinge loss is minimised by dual coordinate descent. A
 logistic curve, fitted to margins of left-out folds, turns margins into scores.
 
 The model is fitted on a bounded sample of the labelled rows outside the
@@ -126,25 +126,24 @@ def log_count_ratio(places: np.ndarray, offsets: np.ndarray, y: np.ndarray, size
 def dual_coordinate_descent(
     rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, cost: float = COST, epochs: int = EPOCHS
 ) -> np.ndarray:
-    """Weights (the last is the intercept) of the squared-hinge loss.
+    """Weights (the last is the intercept) of the hinge loss.
 
-    Every step minimises the dual exactly along one row's variable; rows are
-    visited in a new fixed random order each epoch until the largest projected
-    gradient is small. Classes weigh alike in total.
+    Every step minimises the dual exactly along one row's variable, which lies between 0
+    and the row's cost; rows are visited in a new fixed random order each epoch until the
+    largest projected gradient is small. Classes weigh alike in total.
     """
     sign = np.where(y == 1, 1.0, -1.0)
-    share = np.where(y == 1, (y == 1).mean(), (y == 0).mean())
-    diagonal = 0.5 / (cost * 0.5 / share)
+    most = row_costs(y, cost)
     weights, alpha = np.zeros(size + 1), np.zeros(len(rows))
-    square = np.array([float(v @ v) + 1.0 for _, v in rows]) + diagonal
+    square = np.array([float(v @ v) + 1.0 for _, v in rows])
     rng = np.random.default_rng(17)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(rows)):
             at, value = rows[i]
-            gradient = sign[i] * (weights[at] @ value + weights[-1]) - 1.0 + diagonal[i] * alpha[i]
-            step = max(alpha[i] - gradient / square[i], 0.0) - alpha[i]
-            if step:
+            gradient = sign[i] * (weights[at] @ value + weights[-1]) - 1.0
+            step = min(max(alpha[i] - gradient / square[i], 0.0), most[i]) - alpha[i]
+            if step:  # none at a bound whose gradient points outward
                 worst = max(worst, abs(gradient))
                 alpha[i] += step
                 weights[at] += step * sign[i] * value
@@ -154,6 +153,11 @@ def dual_coordinate_descent(
     return weights
 
 
+def row_costs(y: np.ndarray, cost: float = COST) -> np.ndarray:
+    """The cost of a unit of each row's loss: both classes have the same in total."""
+    return cost * 0.5 / np.where(y == 1, (y == 1).mean(), (y == 0).mean())
+
+
 def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of Platt's curve, by damped Newton steps."""
     pos, neg = int((y == 1).sum()), int((y == 0).sum())

@@ -196,6 +196,26 @@ def test_token_store_equals_the_tokenizer(spark, odd_documents):
         start += len(ids)
 
 
+def test_hinge_weights_reach_the_smallest_loss():
+    """The regularised hinge loss of the fit, against a long run of subgradient steps."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 6))
+    y = (x[:, 0] - 0.5 * x[:, 1] + rng.normal(scale=0.8, size=60) > 0.3).astype(int)
+    rows = [(np.arange(6), v) for v in x]
+    costs, sign = nbsvm_quality.row_costs(y), np.where(y == 1, 1.0, -1.0)
+    full = np.hstack([x, np.ones((60, 1))])
+
+    def loss(w):
+        return 0.5 * w @ w + costs @ np.maximum(0, 1 - sign * (full @ w))
+
+    fitted = nbsvm_quality.dual_coordinate_descent(rows, y, 6, epochs=2000)
+    w, best = np.zeros(7), np.inf
+    for t in range(1, 40_001):
+        w -= (w - full.T @ (costs * sign * (sign * (full @ w) < 1))) / t
+        best = min(best, loss(w))
+    assert loss(fitted) == pytest.approx(best, rel=1e-3)
+
+
 def test_blocks_of_a_hub_are_compared_in_slices(monkeypatch):
     """Members of one hub, their differences cut into slices of seven, against sets."""
     import pandas as pd

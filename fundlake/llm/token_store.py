@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import Tokens, read_table, text_slices
+from fundlake.llm.common import Tokens, read_table, release_memory, text_slices
 from fundlake.llm.token_alignment import byte_level_alphabet
 from fundlake.llm.wavelet import WaveletMatrix, encode_shard
 from fundlake.session import materialize, scratch_path
@@ -121,15 +121,10 @@ class WordEncoder:
         return data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])].astype(np.uint32), offsets
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, encoder: WordEncoder) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts back to back, the end id behind each, and the offsets."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
     tokens = Tokens(texts, lower=False)
-    data, starts = _ENCODERS[path].words(tokens.words)
+    data, starts = encoder.words(tokens.words)
     # Every document's words, then the end mark as one more word.
     data, starts = np.append(data, np.uint32(END_ID)), np.append(starts, starts[-1] + 1)
     codes = np.insert(tokens.codes, tokens.offsets[1:], len(starts) - 2)
@@ -172,6 +167,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
         ids, names, sizes, held, written = [], [], [], 0, []
+        encoder = WordEncoder(tokenizer)  # of this task: workers are reused and would keep it
 
         def flush() -> None:
             nonlocal ids, names, sizes, held
@@ -183,7 +179,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int)
                 ids, names, sizes, held = [], [], [], 0
 
         for part in text_slices(batches, "text", 4 << 20):
-            found, offsets = encode_texts(part.column("text"), tokenizer)
+            found, offsets = encode_texts(part.column("text"), encoder)
             keys = part.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             first = 0
             while first < len(keys):
@@ -197,6 +193,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, partitions: int)
                 if held >= SHARD_TOKENS or last < len(keys):
                     flush()
         flush()
+        del encoder
+        release_memory()
         yield pa.RecordBatch.from_arrays(
             [pa.array([partition] * len(written), pa.int64()), pa.array([w[0] for w in written], pa.string()),
              pa.array([w[1] for w in written], pa.int64())], names=["part", "shard", "size"])

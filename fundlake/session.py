@@ -16,7 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Small files are split for all cores (the same plan at every size).
+    # Many small files share a task less readily; a row group is never split (see views.spread).
     "spark.sql.files.openCostInBytes": "262144",
     # Fall back to per-expression codegen for a stage whose fused method is
     # too large for the JIT (the JVM does not compile methods over 8000 bytes

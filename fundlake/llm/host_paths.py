@@ -10,8 +10,14 @@ page's score and leaves no prose behind: no text that stands directly in a conta
 on the way, nothing inside an article or main element, and elsewhere no heading and no
 sentence. The pages of a host vote with their choices in Spark; the path
 with most votes (then the largest score, then the first path) is the host's, and all
-pages are extracted again with it. A page without the host's path, or where that path
-holds nothing or leaves prose behind, is extracted with its own choice.
+pages are extracted again with it. It decides where it leaves no prose behind, and also where
+it holds most of the page's score and what it leaves is neither directly in a container
+around it nor inside an article: a rail or a legal note of a sentence, which the host's other
+pages do not have, is no article. A page without the host's path, or where that path
+holds nothing or too little, is extracted with its own choice.
+
+A page is read in one pass over its tags, and its containers are a tree of paths (equal
+paths are one node), so very long and deeply nested pages take time in proportion.
 
 Inside a block white space becomes one space; blocks are joined in page order
 by an empty line; character references are decoded.
@@ -28,7 +34,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,7 +54,6 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+", re.I)
 _SENTENCE = re.compile(r"[.!?…。！？।۔؟]['\"”’»)\]]*(?:\s|\Z)")
-_ARTICLE = re.compile(r"/(?:article|main)[./]")
 _NUMBERS = re.compile(r"\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -91,11 +96,52 @@ PENALTY = 0.25
 FOREIGN = frozenset("svg math".split())
 
 
+class Paths:
+    """The containers of a page as a tree: node 0 is the page, equal paths are one node."""
+
+    def __init__(self) -> None:
+        self.parent, self.labels, self.article = [-1], [""], [False]
+        self.children: list[dict[str, int]] = [{}]
+
+    def child(self, node: int, label: str) -> int:
+        found = self.children[node].get(label)
+        if found is None:
+            found = self.children[node][label] = len(self.parent)
+            self.parent.append(node)
+            self.labels.append(label)
+            self.article.append(self.article[node] or label.split(".", 1)[0] in ("article", "main"))
+            self.children.append({})
+        return found
+
+    def text(self, node: int) -> str:
+        labels = []
+        while node > 0:
+            labels.append(self.labels[node])
+            node = self.parent[node]
+        return "".join(f"/{x}" for x in reversed(labels))
+
+    def find(self, path: str) -> int | None:
+        node: int | None = 0
+        for label in path.split("/")[1:]:
+            node = self.children[node].get(label)
+            if node is None:
+                return None
+        return node
+
+    def under(self, top: int) -> list[bool]:
+        """Whether each node is the given one or below it (parents come before children)."""
+        below = [False] * len(self.parent)
+        below[top] = True
+        for i in range(top + 1, len(below)):
+            below[i] = below[i] or below[self.parent[i]]
+        return below
+
+
 class Block:
-    __slots__ = ("path", "text", "link", "heading", "doubt")
+    __slots__ = ("node", "text", "link", "heading", "doubt")
 
-    def __init__(self, path: str, text: str, link: int, heading: bool = False, doubt: bool = False):
-        self.path, self.text, self.link, self.heading, self.doubt = path, text, link, heading, doubt
+    def __init__(self, node: int, text: str, link: int, heading: bool = False, doubt: bool = False):
+        self.node, self.text, self.link, self.heading, self.doubt = node, text, link, heading, doubt
 
     @property
     def gain(self) -> float:
@@ -145,18 +191,21 @@ def _is_doubtful(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
-    classes = sorted(set(_NUMBERS.sub("#", attributes.get("class", "").lower()).split()))
+    classes = sorted(set(_NUMBERS.sub("#", attributes.get("class", "").lower().replace("/", "|")).split()))
     return ".".join([tag, *classes])
 
 
-def blocks(source: str) -> list[Block]:
-    """The text blocks of a page in page order, without boilerplate."""
+def blocks(source: str) -> tuple[list[Block], Paths]:
+    """The text blocks of a page in page order, without boilerplate, and its containers."""
     found: list[Block] = []
-    # Open elements: (tag, path of containers, skipped, inside an article, inside a heading, doubtful).
-    stack: list[tuple[str, str, bool, bool, bool, bool]] = [("", "", False, False, False, False)]
+    paths = Paths()
+    # Open elements: (tag, container, skipped, inside an article, inside a heading, doubtful), and how many of each tag.
+    stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
+    opened: Counter[str] = Counter()
+    foreign: list[int] = []  # places of open elements of foreign markup (or back from it) in the stack
     pieces: list[str] = []
-    link_open, link = 0, 0
-    path = ""
+    link = 0
+    path = 0
 
     def flush() -> None:
         nonlocal link
@@ -167,36 +216,47 @@ def blocks(source: str) -> list[Block]:
             pieces.clear()
         link = 0
 
-    at, n = 0, len(source)
+    def close(depth: int) -> None:
+        for element in stack[depth:]:
+            opened[element[0]] -= 1
+        del stack[depth:]
+        while foreign and foreign[-1] >= depth:
+            foreign.pop()
+
+    # No tag ends behind the last ">": what follows is text, whatever it looks like.
+    at, n, last = 0, len(source), source.rfind(">") + 1
     while at < n:
-        m = _TAG.search(source, at)
+        m = _TAG.search(source, at, last) if at < last else None
         text = source[at : m.start()] if m else source[at:]
+        if not m and "<!--" in text:
+            text = text[: text.index("<!--")]
         top = stack[-1]
         if text and not top[2]:
             pieces.append(text)
-            if link_open:
+            if opened["a"]:
                 link += len(text)
         if not m:
             break
         at = m.end()
         name = m[2]
         if name is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break  # a comment without an end
             continue
         tag = name.lower()
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if tag in BLOCKS:
                 flush()
-            if depth:
+            if opened[tag]:
+                depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
                 if any(x[0] in BLOCKS for x in stack[depth:]):
                     flush()
-                link_open = max(0, link_open - sum(x[0] == "a" for x in stack[depth:]))
-                del stack[depth:]
+                close(depth)
                 path = stack[-1][1]
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at, max(last, at))
                 at = end.end() if end else n
             continue
         if tag == "br":
@@ -204,92 +264,122 @@ def blocks(source: str) -> list[Block]:
             continue
         if tag in BLOCKS:
             flush()
-            foreign = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in FOREIGN or stack[i][0] == "foreignobject"), 0)
-            if foreign and stack[foreign][0] in FOREIGN:
-                link_open = max(0, link_open - sum(x[0] == "a" for x in stack[foreign:]))
-                del stack[foreign:]
-            closing = CLOSES.get(tag, set()) if tag in CLOSES else set()
+            if foreign and stack[foreign[-1]][0] in FOREIGN:
+                close(foreign[-1])
+            closing = CLOSES.get(tag, set())
             if tag != "p":
                 closing = closing | {"p"}
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closing:
-                    del stack[i:]
-                    break
-                if stack[i][0] in CONTAINERS or stack[i][0] in ("ul", "ol", "dl", "blockquote"):
-                    break
+            if any(opened[t] for t in closing):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] in closing:
+                        close(i)
+                        break
+                    if stack[i][0] in CONTAINERS or stack[i][0] in ("ul", "ol", "dl", "blockquote"):
+                        break
             path = stack[-1][1]
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
         top = stack[-1]
         attributes = _attributes(m[3])
         skipped = top[2] or _is_boilerplate(tag, attributes, top[3])
-        own = f"{top[1]}/{_label(tag, attributes)}" if tag in CONTAINERS else top[1]
+        own = paths.child(top[1], _label(tag, attributes)) if tag in CONTAINERS else top[1]
         article = top[3] or tag in ("article", "main")
         doubtful = top[5] or article and _is_doubtful(tag, attributes)
+        if tag in FOREIGN or tag == "foreignobject":
+            foreign.append(len(stack))
         stack.append((tag, own, skipped, article, top[4] or tag in HEADINGS, doubtful))
+        opened[tag] += 1
         path = own
-        link_open += tag == "a"
     flush()
-    return found
-
-
-def _under(block: Block, path: str) -> bool:
-    return path == "" or block.path == path or block.path.startswith(path + "/")
-
-
-def leaves_prose(found: list[Block], path: str) -> bool:
-    """Whether article text of the page stands outside ``path``.
-
-    That is text beside links that stands directly in a container around the path or
-    inside an article or main element, or that is a heading or holds a sentence.
-    """
-    return any(
-        b.gain > 0 and not _under(b, path)
-        and (path.startswith(b.path + "/") or _ARTICLE.search(b.path + "/") or b.heading or _SENTENCE.search(b.text))
-        for b in found
-    )
-
-
-def best_path(found: list[Block], share: float = SHARE) -> tuple[str, float]:
-    """The deepest container that holds most of the page's score and leaves no prose behind, and its score."""
-    scores: dict[str, float] = defaultdict(float)
-    for b in found:
-        gain = b.gain
-        at = len(b.path)
-        while at > 0:
-            scores[b.path[:at]] += gain
-            at = b.path.rfind("/", 0, at)
-    path, total = "", sum(s for p, s in scores.items() if p.count("/") == 1)
+    return found, paths
+
+
+class Scores:
+    """Sums over every container of a page and all below it."""
+
+    def __init__(self, found: list[Block], paths: Paths):
+        n = len(paths.parent)
+        self.paths = paths
+        self.score, self.direct = [0.0] * n, [0] * n  # score; blocks directly in the container
+        self.prose, self.article = [0] * n, [0] * n  # blocks of prose; blocks inside an article
+        for b in found:
+            gain = b.gain
+            if gain > 0:
+                self.score[b.node] += gain
+                self.direct[b.node] += 1
+                self.article[b.node] += paths.article[b.node]
+                self.prose[b.node] += bool(paths.article[b.node] or b.heading or _SENTENCE.search(b.text))
+        for i in range(n - 1, 0, -1):
+            for sums in (self.score, self.prose, self.article):
+                sums[paths.parent[i]] += sums[i]
+        self.total = sum(self.score[c] for c in paths.children[0].values())
+
+    def around(self, node: int) -> int:
+        """Blocks that stand directly in a container around the node."""
+        count, node = 0, self.paths.parent[node]
+        while node >= 0:
+            count += self.direct[node]
+            node = self.paths.parent[node]
+        return count
+
+    def decides(self, node: int) -> bool:
+        """Whether a page is extracted with its host's path, the node."""
+        if self.around(node) or self.article[0] > self.article[node]:
+            return False
+        return self.prose[0] == self.prose[node] or self.score[node] >= SHARE * self.total
+
+
+def best_path(found: list[Block], paths: Paths, share: float = SHARE) -> tuple[int, float]:
+    """The deepest container that holds most of the page's score and leaves no prose behind, and its score.
+
+    Prose is text beside links that stands directly in a container around the path or inside an
+    article or main element, or that is a heading or holds a sentence."""
+    sums = Scores(found, paths)
+    node, around = 0, 0
     while True:
-        below = [(s, p) for p, s in scores.items() if p.startswith(path + "/") and p.count("/") == path.count("/") + 1]
-        score, deeper = max(below, default=(0.0, ""), key=lambda x: (x[0], x[1]))
-        if not deeper or score < share * total or score <= 0 or leaves_prose(found, deeper):
-            return path, scores.get(path, 0.0)
-        path = deeper
+        below = paths.children[node]
+        deeper = max(below.values(), key=lambda c: (sums.score[c], paths.labels[c]), default=0)
+        around += sums.direct[node]
+        if not deeper or sums.score[deeper] < share * sums.total or sums.score[deeper] <= 0 or around or sums.prose[0] > sums.prose[deeper]:
+            return node, sums.score[node] if node else 0.0
+        node = deeper
 
 
 def extract(source: str | None, host_path: str | None) -> tuple[str, str]:
     """The text under the host's path (or the page's own choice), and the path used."""
-    found = blocks(source or "")
-    if host_path is not None and not leaves_prose(found, host_path):
-        own = [b.text for b in found if _under(b, host_path)]
+    found, paths = blocks(source or "")
+
+    def text_under(node: int) -> list[str]:
+        below = paths.under(node)
+        return [b.text for b in found if below[b.node]]
+
+    if host_path is not None:
+        node = paths.find(host_path)
+        own = text_under(node) if node is not None and Scores(found, paths).decides(node) else []
         if own:
             return "\n\n".join(own), host_path
-    path = best_path(found)[0]
-    own = [b.text for b in found if _under(b, path)]
-    return ("\n\n".join(own), path) if own else ("", host_path or "")
+    node = best_path(found, paths)[0]
+    own = text_under(node)
+    return ("\n\n".join(own), paths.text(node)) if own else ("", host_path or "")
 
 
 def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def own_choice(source: str) -> tuple[str, float]:
+    """The path of a page's own choice and its score."""
+    found, paths = blocks(source)
+    node, score = best_path(found, paths)
+    return paths.text(node), score
+
+
 def page_choices(pages: DataFrame) -> DataFrame:
     """host, path and score of every page's own choice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "html"):
-            chosen = [best_path(blocks(h or "")) for h in part.column("html").to_pylist()]
+            chosen = [own_choice(h or "") for h in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("host"), pa.array([c[0] for c in chosen], pa.string()), pa.array([c[1] for c in chosen], pa.float64())],
                 names=["host", "path", "score"],

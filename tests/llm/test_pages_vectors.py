@@ -32,6 +32,45 @@ def test_hosts_vote(spark):
     assert host_paths.extract_pages(got.sparkSession.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_deep_and_broken_pages_take_time_in_proportion():
+    import time
+
+    pages = ["<div>" * 20_000 + "text. " + "</div>" * 20_000, "<a " * 350_000, '<a "' * 250_000, "<div><p>words of it" * 20_000,
+             "<b>" * 20_000 + "</i>" * 20_000 + "<h1>x" * 2000, "<!--" * 250_000, "<svg>" * 20_000 + "<div>x</div>" * 20_000,
+             "<script>" + "</script " * 100_000, "<p>" + "long text " * 200_000]
+    for page in pages:
+        began = time.process_time()
+        host_paths.extract(page, "/body/none")
+        assert time.process_time() - began < 10  # under one second each; hours before
+
+
+def test_a_link_closed_by_a_block_ends():
+    text, path = host_paths.extract("<div><p><a href=x>menu entry here<p>A sentence of the article.</div>", None)
+    assert text == "menu entry here\n\nA sentence of the article." and path == "/div"
+
+
+def test_the_host_decides_over_rails_and_legal_notes(spark):
+    """Hosts with a layout each; some of their pages have a rail and a legal note of sentences
+    beside the story, some tell their story elsewhere."""
+    layouts = {
+        "a": "<body><div class='story'>{}</div>{}</body>", "b": "<body><div id='x'><section class='text'>{}</section>{}</div></body>",
+        "c": "<body><table><tr><td class='left'>{}</td><td class='more'>{}</td></tr></table></body>",
+    }
+    rows, wanted = [], {}
+    for h, (host, layout) in enumerate(layouts.items()):
+        for i in range(12):
+            story = [f"Sentence {k} of story {i} on host {host}, with some more words." for k in range(8 + i)]
+            html = "".join(f"<p>{x}</p>" for x in story)
+            extra = "<div class='rail'><p>Buy it now.</p></div><div class='legal'><p>All rights are reserved.</p></div>" if i % 4 == 3 else ""
+            rows.append((100 * h + i, f"http://{host}.com/{i}", layout.format(html, extra)))
+            wanted[100 * h + i] = "\n\n".join(story)
+        rows.append((100 * h + 50, f"http://{host}.com/z", "<body><div class='other'><p>Told elsewhere, in one sentence.</p></div></body>"))
+        wanted[100 * h + 50] = "Told elsewhere, in one sentence."
+    got = host_paths.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == wanted
+    assert got.where("voted").count() == 36
+
+
 def brute(ids, x, top=5):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     out = {}

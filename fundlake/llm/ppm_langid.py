@@ -42,7 +42,7 @@ SAMPLE_CHARS = 250_000
 #: Texts that the characters of a language's sample suffice for at least.
 MIN_TEXTS = 10
 CHUNK = 50_000
-SLICE = 8 << 20
+SLICE = 2 << 20
 UNDETERMINED = "und"
 END = 0x20
 

@@ -49,9 +49,9 @@ def plain_alignment(sides, text):
     for e in shared:
         x, y = ends[0][e], ends[1][e]
         links.append((ids_a[x], ids_b[y]))
-        groups.append(",".join(map(str, ids_a[i : x + 1])) + ";" + ",".join(map(str, ids_b[j : y + 1])))
+        groups.append(",".join(map(str, ids_a[i : x + 1])) + "|" + ",".join(map(str, ids_b[j : y + 1])))
         i, j = x + 1, y + 1
-    return ids_a, ids_b, "|".join(groups), links
+    return ids_a, ids_b, ";".join(groups), links
 
 
 def expected_rows(sides, rows):
@@ -99,6 +99,27 @@ def test_odd_texts_equal_the_plain_alignment(spark, sides):
     assert all(groups[i] == plain_alignment(sides, t)[2] for i, t in rows)
 
 
+def test_groups_are_written_as_the_contract_says(spark, sides):
+    """A and B ids of a group apart by a bar, groups apart by a semicolon (`a1,a2|b1;a3|b2,b3`)."""
+    a, b = sides
+    ids_a, ids_b = library().encode(" the unhappily", add_special_tokens=False).ids, b.model.encode("the unhappily")
+    assert len(ids_a) > 2 and a.pieces[ids_a[0]] == b.pieces[ids_b[0]] == b" the"
+    row = T.align_corpus(spark, spark.createDataFrame([(1, "the unhappily")], "doc_id long, text string"), keep_groups=True).first()
+    parts = [tuple(g.split("|")) for g in row.groups.split(";")]
+    assert parts[0] == (str(ids_a[0]), str(ids_b[0])) and len(parts) == row.n_groups
+    assert [int(i) for x, _ in parts for i in x.split(",")] == ids_a
+    assert [int(i) for _, y in parts for i in y.split(",")] == ids_b
+    assert row.groups_sha256 == hashlib.sha256(row.groups.encode()).hexdigest()
+
+
+def test_a_run_too_long_for_the_split_is_encoded_by_the_library(spark, sides):
+    text = "a" + " " * 1_200_000 + "b"
+    found = T.align_corpus(spark, spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string"))
+    got = sorted(map(tuple, found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()), key=str)
+    assert got == expected_rows(sides, [(1, text), (2, "a b")]) and got[0][1] > 1_000_000
+
+
 def test_parts_of_long_texts_give_the_ids_of_the_whole(sides):
     rng = random.Random(9)
     words = ["alpha", "(beta)", "x.", "  two", "\n\nNew", "día", "日本語", "1,000", "it's", "A"]

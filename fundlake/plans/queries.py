@@ -407,6 +407,10 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
+#: Rows of a written CSV file, each of which one task reads back.
+CSV_RECORDS = 100_000
+
+
 def q_reconciled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-01, O-17, O-20, O-35, O-40: several CSV files with echo columns and broken
     cells in, the reconciled CSV and its quarantine out, both read back."""
@@ -420,10 +424,11 @@ def q_reconciled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "funding-csv")
     cells = funding_raw(spark, sf_dir).withColumn("k", F.col("row_ord")).withColumn("funding_rounds", F.expr(STAGE_CELL_SQL))
     cells = cells.withColumns({"type": F.lit("object"), "json_schema": F.lit('{"a": "b"}')})
-    files = cells.repartitionByRange(4, "k").sortWithinPartitions("k")
-    write_stage_csv(files.select("company_name", "type", "uuid", "json_schema", "funding_rounds"), os.path.join(folder, "in"))
+    # A file of quoted lines is read by one task: files as many as tasks, of bounded rows each.
+    files = cells.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "k").sortWithinPartitions("k")
+    write_stage_csv(files.select("company_name", "type", "uuid", "json_schema", "funding_rounds"), os.path.join(folder, "in"), max_records_per_file=CSV_RECORDS)
     reconcile_csv(spark, os.path.join(folder, "in"), os.path.join(folder, "out"),
-                  "company_name string, type string, uuid string, json_schema string, funding_rounds string")
+                  "company_name string, type string, uuid string, json_schema string, funding_rounds string", max_records_per_file=CSV_RECORDS)
     companies, quarantine = read_reconciled(spark, os.path.join(folder, "out"), "company_name string, uuid string, funding_rounds string")
     none = F.lit(None).cast("string")
     return companies.select(F.lit("company").alias("part"), "company_name", "uuid", F.col("funding_rounds").alias("value"), none.alias("reason")).unionByName(

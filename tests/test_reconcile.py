@@ -156,3 +156,21 @@ def test_summaries_combine_in_any_cuts(spark):
     second = S.fold(first.withColumn("g2", F.shiftright("g1", 1)), [*groups, "g2"])
     as_rows = lambda df: sorted(map(str, df.select(*groups, "s").collect()))
     assert as_rows(S.fold(second, groups)) == as_rows(whole)
+
+
+def test_the_csv_query_bounds_the_rows_of_its_files(spark, tmp_path, monkeypatch):
+    """One task reads a whole file of quoted lines, so files grow in number and not in size."""
+    from fundlake import session
+    from fundlake.plans import queries
+    from sf_dirs import SF_SMALL
+
+    expected = sorted(map(tuple, queries.q_reconciled_csv(spark, SF_SMALL).collect()), key=str)
+    monkeypatch.setattr(session, "scratch_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "CSV_RECORDS", 100)
+    found = sorted(map(tuple, queries.q_reconciled_csv(spark, SF_SMALL).collect()), key=str)
+    assert found == expected and len(found) > 100
+    for folder in ("in", "out/companies", "out/quarantine"):
+        rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "funding-csv" / folder))
+        sizes = [r["count"] for r in rows.groupBy("_metadata.file_name").count().collect()]
+        assert max(sizes) <= 100
+        assert folder != "in" or len(sizes) > 4

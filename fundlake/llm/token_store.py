@@ -8,9 +8,10 @@ the files are read back with Spark's own file reader.
 
 The tokenizer lower-cases, splits a text at white space and between runs of letters, single
 digits and runs of other marks, and merges bytes within these parts only, so a document's ids
-are its words' ids in order. The distinct words of a slice are encoded together: words of
-plain letters, digits and marks as one run of parts by their merge ranks, the others as
-they stand by the tokenizer. Nothing is kept from slice to slice.
+are its words' ids in order. Of the distinct words of a slice, those of plain letters,
+digits and marks are cut into parts, and the distinct parts are encoded together by their
+merge ranks; the other words go as they stand through the tokenizer. Nothing is kept from
+slice to slice.
 
 A shard's name has the partition and the number within it; a task that runs
 again writes the same bytes under the same name.
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import Tokens, read_table, release_memory, text_slices
+from fundlake.llm.common import Tokens, read_table, release_memory, string_bytes, text_slices
 from fundlake.llm.token_alignment import byte_level_alphabet
 from fundlake.llm.wavelet import WaveletMatrix, encode_shard
 from fundlake.session import materialize, scratch_path
@@ -43,11 +44,13 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
 
-#: Parts of words that normalisation leaves alone: letters of one code point, single
-#: digits, ASCII marks other than the apostrophe (which begins endings such as 's).
-_LETTERS, _MARKS = "a-zß-öø-ÿ", r"!-&(-/:-@\[-`{-~"
-_PLAIN = f"^[{_LETTERS}0-9{_MARKS}]+$"
-_PART = f"([{_LETTERS}]+|[0-9]|[{_MARKS}]+)"
+#: Words that normalisation leaves alone but for case: letters of one code point in
+#: U+00C0 to U+00FF, digits, ASCII marks other than the apostrophe (which begins endings
+#: such as 's).
+_PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+$"
+#: What the byte of a plain word belongs to: a run of letters, a digit or a run of marks.
+_LETTER, _DIGIT, _MARKS = 0, 1, 2
+_KINDS = np.array([_DIGIT if chr(b).isdigit() else _LETTER if chr(b).isalpha() else _MARKS for b in range(128)] + [_LETTER] * 128, np.uint8)
 #: Ends a part; no plain word holds it.
 _MARK = "\x00"
 
@@ -93,32 +96,51 @@ class WordEncoder:
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words back to back, and the offsets."""
-        lower = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
         special = pc.match_substring(words, "<|")  # as the tokenizer finds its special tokens
-        plain = pc.and_not(pc.match_substring_regex(lower, _PLAIN), special).to_numpy(zero_copy_only=False)
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), special).to_numpy(zero_copy_only=False)
         if not self.ranked:
             plain[:] = False
         ids, sizes = [], np.zeros(len(words), np.int64)
         if plain.any():
-            own = lower.filter(pa.array(plain))
-            split = pc.replace_substring_regex(own, _PART, "\\1" + _MARK)
-            found = np.array(self._ranks("".join(split.to_pylist())), np.int64)
-            parts = pc.count_substring(split, _MARK).to_numpy(zero_copy_only=False)
-            ends = np.flatnonzero(self.ends[found]) + 1
-            sizes[plain] = np.diff(ends[np.cumsum(parts) - 1], prepend=0)
+            found, offsets = self._plain(pc.utf8_lower(words.filter(pa.array(plain))))
+            sizes[plain] = np.diff(offsets)
             ids.append(found)
         others = words.filter(pa.array(~plain)).to_pylist()
         for at in range(0, len(others), 4096):
             found = [e.ids for e in self.tokenizer.encode_batch(others[at : at + 4096], add_special_tokens=False)]
             sizes[np.flatnonzero(~plain)[at : at + 4096]] = [len(f) for f in found]
-            ids.append(np.array([i for f in found for i in f], np.int64))
+            ids.append(np.array([i for f in found for i in f], np.uint32))
         # Plain words' ids, then the others': back to the order of the words.
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         starts = np.empty(len(words), np.int64)
         starts[order] = np.cumsum(sizes[order]) - sizes[order]
-        data = np.concatenate([np.zeros(0, np.int64), *ids])
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        return data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])].astype(np.uint32), offsets
+        return runs(np.concatenate([np.zeros(0, np.uint32), *ids]), starts, sizes)
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain lower-case words back to back, and the offsets."""
+        data, offsets = string_bytes(words)
+        kinds = _KINDS[data]
+        begins = np.concatenate([[True], (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)])
+        begins[offsets[:-1]] = True
+        cuts = np.append(np.flatnonzero(begins), len(data))
+        parts = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        codes = parts.indices.to_numpy(zero_copy_only=False)
+        # Every distinct part with its mark behind it; the ids of a part are up to the first that ends one.
+        data, ends = string_bytes(parts.dictionary)
+        text = np.insert(data, ends[1:], ord(_MARK)).tobytes().decode()
+        found = np.array(self._ranks(text), np.uint32)
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[found]) + 1])
+        found, ends = runs(found, ends[:-1][codes], np.diff(ends)[codes])
+        return found, ends[np.searchsorted(cuts, offsets)]
+
+
+def runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``data`` from ``starts`` on, back to back, and their offsets."""
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    at = np.repeat(starts - offsets[:-1], sizes)
+    at += np.arange(len(at))
+    return data[at], offsets
 
 
 def encode_texts(texts: pa.Array, encoder: WordEncoder) -> tuple[np.ndarray, np.ndarray]:
@@ -129,11 +151,8 @@ def encode_texts(texts: pa.Array, encoder: WordEncoder) -> tuple[np.ndarray, np.
     data, starts = np.append(data, np.uint32(END_ID)), np.append(starts, starts[-1] + 1)
     codes = np.insert(tokens.codes, tokens.offsets[1:], len(starts) - 2)
     offsets = tokens.offsets + np.arange(len(tokens.offsets))
-    length = np.diff(starts)[codes]
-    ends = np.cumsum(length)
-    at = np.repeat(starts[codes] - (ends - length), length)
-    at += np.arange(len(at))
-    return data[at], np.concatenate([[0], ends])[offsets]
+    ids, ends = runs(data, starts[codes], np.diff(starts)[codes])
+    return ids, ends[offsets]
 
 
 def local_path(folder: str) -> str | None:

@@ -22,6 +22,7 @@ import numpy as np
 
 MAGIC = b"FLWM1\n"
 WORD = 512  # bits of a rank block
+DENSE = 1 << 20  # largest id that is counted in a table
 
 
 def code_lengths(counts: np.ndarray) -> np.ndarray:
@@ -64,14 +65,26 @@ def assign_codes(lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return codes, leaves
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids in order, the place of every id among them, and their counts. Ids
+    up to :data:`DENSE` (those of any vocabulary) are counted in a table, without sorting."""
+    if not len(ids) or int(ids.max()) > DENSE:
+        symbols, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        return symbols, places, counts
+    table = np.bincount(ids)
+    symbols = np.flatnonzero(table)
+    order = np.zeros(len(table), np.int32)
+    order[symbols] = np.arange(len(symbols), dtype=np.int32)
+    return symbols, order[ids], table[symbols]
+
+
 def encode_shard(ids: np.ndarray, doc_ids: np.ndarray, doc_tokens: np.ndarray) -> bytes:
     """The file for the token ids of consecutive documents."""
-    symbols, inverse = np.unique(ids, return_inverse=True) if len(ids) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    counts = np.bincount(inverse, minlength=len(symbols))
+    symbols, places, counts = distinct(ids)
     lengths = code_lengths(counts)
     codes, leaves = assign_codes(lengths)
     deep = int(lengths.max(initial=0))
-    row = codes.astype(np.uint32 if deep <= 32 else np.uint64)[inverse]
+    row = codes.astype(np.uint32 if deep <= 32 else np.uint64)[places]
     planes, sizes = [], []
     for level in range(deep):
         ones = (row & row.dtype.type(1)).view(np.uint8)[:: row.dtype.itemsize].astype(bool)
@@ -124,8 +137,8 @@ class WaveletMatrix:
             ones = self._bits(level)
             zeros = len(row) - int(np.count_nonzero(ones))
             below = np.empty_like(row)
-            np.place(below, ~ones, row[:zeros])
-            np.place(below, ones, row[zeros:])
+            below[np.flatnonzero(~ones)] = row[:zeros]
+            below[np.flatnonzero(ones)] = row[zeros:]
         return below
 
     def _rank1(self, level: int, at: int) -> int:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fundlake.llm import context_tree, fast_sketch_dedup, mil_toxicity, nbsvm_quality, ppm_langid, raking, spaced_seeds, token_store
+from fundlake.llm import context_tree, fast_sketch_dedup, mil_toxicity, nbsvm_quality, ppm_langid, raking, spaced_seeds, token_store, wavelet
 from fundlake.llm.wavelet import WaveletMatrix, encode_shard
 
 SF = "/root/testdata/sf0.001"
@@ -257,6 +257,58 @@ def test_words_by_rank_equal_the_tokenizer():
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
 
 
+def test_words_of_every_case_equal_the_tokenizer():
+    """Latin capitals, marks and digits, and what only looks or lower-cases like them."""
+    from tokenizers import Tokenizer
+
+    path = token_store.tokenizer_path()
+    tokenizer, encoder = Tokenizer.from_file(path), token_store.WordEncoder(path)
+    latin = [chr(c) for c in range(0xA1, 0x180)]
+    near = ["\u212a", "\u212b", "\u0130", "\u1e9e", "\u0301", "\u0308", "\u03a3", "\u00ad", "\u01c5", "'", "'S", "\x00", "\x1f", "\x7f"]
+    rng = random.Random(7)
+    words = latin + near + [a + b for a in latin[::3] + near for b in ("e", "E", "7", "%%%", "\u00c9")]
+    words += ["".join(rng.choices(latin[31:95] + near + list("aEiO09.,!$%<|"), k=rng.randint(1, 12))) for _ in range(20_000)]
+    ids, offsets = encoder.words(pa.array(words, pa.large_string()))
+    expected = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    for few in (["\u00c9", "a1"], ["it's"], []):
+        ids, offsets = encoder.words(pa.array(few, pa.large_string()))
+        expected = [e.ids for e in tokenizer.encode_batch(few, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+
+
+def test_parts_of_words_are_encoded_once(monkeypatch):
+    """A part that many words share is merged once; capitals do not need the tokenizer."""
+    encoder = token_store.WordEncoder(token_store.tokenizer_path())
+    seen, ranks = [], encoder._ranks
+    monkeypatch.setattr(encoder, "_ranks", lambda text: seen.extend(text.split("\x00")) or ranks(text))
+    asked = []
+
+    class Library:
+        def encode_batch(self, texts, **_):
+            asked.extend(texts)
+            return []
+
+    monkeypatch.setattr(encoder, "tokenizer", Library())
+    words = ["Thorhaan", "thorhaan.", "thorhaan%%%", "(thorhaan)", "\u00c9cole.", "\u00e9cole%%%", "11"]
+    _, offsets = encoder.words(pa.array(words, pa.large_string()))
+    assert not asked and (np.diff(offsets) > 0).all()
+    assert sorted(filter(None, seen)) == sorted(["thorhaan", ".", "%%%", "(", ")", "\u00e9cole", "1"])
+
+
+def test_ids_are_counted_without_sorting(monkeypatch):
+    rng = np.random.default_rng(8)
+    small = (rng.zipf(1.3, 5000) % 49408).astype(np.uint32)
+    for ids in (small, np.append(small, np.uint32(wavelet.DENSE + 1)), np.zeros(0, np.uint32), np.array([wavelet.DENSE], np.uint32)):
+        symbols, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        got = wavelet.distinct(ids)
+        assert [x.tolist() for x in got] == [symbols.tolist(), inverse.tolist(), counts.tolist()]
+        matrix = WaveletMatrix(encode_shard(ids, np.array([1]), np.array([len(ids)])))
+        assert (matrix.decode() == ids).all()
+    monkeypatch.setattr(np, "unique", None)  # a vocabulary's ids do not need it
+    assert (WaveletMatrix(encode_shard(small, np.array([1]), np.array([5000]))).decode() == small).all()
+
+
 def test_ppm_code_lengths_against_byte_loops():
     model = ppm_langid.PpmModel({"a": ["the cat then the hat"], "b": ["der hut und der hund"]})
     samples = {"a": "the cat then the hat", "b": "der hut und der hund"}
